@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_files
+from . import merkle, mixing, packing, sharding, token_files
 from .common import documents
 from .subwords import vocabulary_path
 
@@ -17,5 +17,17 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(documents(spark, sf_dir), vocabulary_path("word_bpe_49k.json"), 2)
 
 
-QUERIES = {"op3_pack": op3_pack, "op10_token_files": op10_token_files}
-ORACLES: dict[str, str] = {}
+def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edited_fingerprints(documents(spark, sf_dir))
+
+
+def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(documents(spark, sf_dir), weights=(5, 2, 1), share=1.5, epochs=2)
+
+
+def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.document_shards(documents(spark, sf_dir), 24, law="rows")
+
+
+QUERIES = {"op3_pack": op3_pack, "op5_merkle": op5_merkle, "op6_mix": op6_mix, "op7_shards": op7_shards, "op10_token_files": op10_token_files}
+ORACLES = {"op6_mix": mixing.ORACLE}
