@@ -4,11 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import merkle, mixing, packing, sharding, token_files
+from . import media, merkle, mixing, packing, secret_scan, sharding, simhash, token_files
 from .common import documents
 from .subwords import vocabulary_path
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir), radius=4, shingle=4, seed=42)
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.span_digests(secret_scan.scan(documents(spark, sf_dir)))
+
+
+def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_digests(media.with_media(documents(spark, sf_dir)))
+
+
 def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), vocabulary_path("byte_bpe_50k.json"), 1024, 2)
 
@@ -29,5 +41,14 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.document_shards(documents(spark, sf_dir), 24, law="rows")
 
 
-QUERIES = {"op3_pack": op3_pack, "op5_merkle": op5_merkle, "op6_mix": op6_mix, "op7_shards": op7_shards, "op10_token_files": op10_token_files}
+QUERIES = {
+    "op2_simhash": op2_simhash,
+    "op3_pack": op3_pack,
+    "op4_secrets": op4_secrets,
+    "op5_merkle": op5_merkle,
+    "op6_mix": op6_mix,
+    "op7_shards": op7_shards,
+    "op9_media": op9_media,
+    "op10_token_files": op10_token_files,
+}
 ORACLES = {"op6_mix": mixing.ORACLE}
