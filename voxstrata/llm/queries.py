@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, merkle, mixing, packing, secret_scan, sharding, simhash, token_files
+from . import lm_scoring, media, merkle, mixing, packing, quality, secret_scan, sharding, simhash, token_files
 from .common import documents
 from .subwords import vocabulary_path
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scores(documents(spark, sf_dir), vocabulary_path("byte_bpe_50k.tiktoken"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.document_grades(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), least_tail=0.5)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), radius=4, shingle=4, seed=42)
 
@@ -42,12 +50,14 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_score": op1_lm_score,
     "op2_simhash": op2_simhash,
     "op3_pack": op3_pack,
     "op4_secrets": op4_secrets,
     "op5_merkle": op5_merkle,
     "op6_mix": op6_mix,
     "op7_shards": op7_shards,
+    "op8_quality": op8_quality,
     "op9_media": op9_media,
     "op10_token_files": op10_token_files,
 }

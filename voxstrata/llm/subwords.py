@@ -28,7 +28,7 @@ _MARKS = frozenset(".,;:!?|")
 class Subwords:
     """``limit``: chunks remembered at most; beyond that memory is given back and filled again, results don't change."""
 
-    def __init__(self, path: str, limit: int = 900_000):
+    def __init__(self, path: str, limit: int = 1_200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer
@@ -66,18 +66,22 @@ class Subwords:
         stem = chunk[:-1]
         return stem if chunk[-1:] in _MARKS and stem.lstrip(" ").isalpha() and (stem.isascii() or max(stem) < "\u0250") else ""
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Words with a mark behind are put together from the word and the mark."""
-        made = [(x, stem) for x in chunks if (stem := self._stem(x))]
-        parts = {x for chunk, stem in made for x in (stem, chunk[-1])}
-        self._encode_chunks(list(({*chunks} - {x for x, _ in made} | parts) - self.known.keys()))
-        for chunk, stem in made:
-            self.known[chunk] = self.known[stem] + self.known[chunk[-1]]
+    def _chunks(self, seen: set[str]) -> dict[str, bytes]:
+        """The ids of chunks. Words with a mark behind are put together from word and mark, and only those are remembered."""
+        known, stems, marked = self.known, {}, ".,;:!?|"
+        for x in seen:
+            if x not in known and x[-1:] in marked and (stem := self._stem(x)):
+                stems[x] = stem
+        self._encode_chunks([x for x in {*stems.values(), *marked}.union(seen.difference(stems)) if x not in known])
+        out = {x: known[stem] + known[x[-1]] for x, stem in stems.items()}
+        for x in seen.difference(stems):
+            out[x] = known[x]
+        return out
 
     def _encode_chunks(self, chunks: list[str]) -> None:
         for i in range(0, len(chunks), 1000):
             some = chunks[i : i + 1000]
-            ids = np.array(self.encoder.encode(self.mark.join(some), add_special_tokens=False).ids, dtype="<u4")
+            ids = np.array(self.encoder.encode_batch_fast([self.mark.join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
             ends = np.flatnonzero(ids == self.mark_id).tolist()
             raw, start = ids.tobytes(), 0
             for chunk, end in zip(some, [*ends, len(ids)], strict=True):
@@ -89,13 +93,12 @@ class Subwords:
         if self.cut is None or self.mark is None:
             return [self._whole(x) for x in texts]
         if len(self.known) > self.limit:
-            self.known.clear()
+            self.known = {}
         cut = [None if any(s in x for s in self.special) else self.cut(x) for x in texts]
         seen: set[str] = set()
         for chunks in cut:
             seen.update(chunks or ())
-        self._learn([x for x in seen if x not in self.known])
-        get = self.known.__getitem__
+        get = self._chunks(seen).__getitem__
         return [self._whole(x) if chunks is None else b"".join(map(get, chunks)) for x, chunks in zip(texts, cut, strict=True)]
 
 
