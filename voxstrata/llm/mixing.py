@@ -77,7 +77,7 @@ def mixed(docs: DataFrame, *, weights: tuple[int, ...] = (5, 2, 1), share: float
             among = own <= F.struct(*(F.lit(last[0][c]).alias(c) for c in names)) if last else F.lit(False)
             taken[e] = taken[e] & ((here < cell) | ((here == cell) & among))
     times = sum((t.cast("int") for t in taken), F.lit(0))
-    return rows.withColumn("times", F.coalesce(times, F.lit(0))).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "times")
+    return rows.withColumn("times", F.coalesce(times, F.lit(0))).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "times", "mark")
 
 
 ORACLE = r"""

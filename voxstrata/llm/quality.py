@@ -67,7 +67,7 @@ class OrdinalModel:
     def __init__(self):
         self.weights, self.thresholds = np.zeros(SIZE), np.array([-2.0, -1.0])
 
-    def fit(self, rows: list[np.ndarray], grades: np.ndarray, *, rounds: int = 12, rate: float = 0.2, least: float = 2e-4, seen_in: int = 3, seed: int = 0) -> OrdinalModel:
+    def fit(self, rows: list[np.ndarray], grades: np.ndarray, *, rounds: int = 12, rate: float = 0.2, least: float = 5e-3, seen_in: int = 5, seed: int = 0) -> OrdinalModel:
         """AdaGrad over single documents' gradients in batches, with soft thresholding; rare slots are left at zero."""
         if not len(rows):
             self.thresholds[:] = -40.0

@@ -42,7 +42,7 @@ def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed(documents(spark, sf_dir), weights=(5, 2, 1), share=1.5, epochs=2)
+    return mixing.mixed(documents(spark, sf_dir), weights=(5, 2, 1), share=1.5, epochs=2).drop("mark")
 
 
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
