@@ -8,6 +8,8 @@ from __future__ import annotations
 import math
 from fractions import Fraction
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -130,12 +132,9 @@ def quantized_u16(value: Column, low: Column, size: Column) -> Column:
 
 def splitmix64(index: str | Column, seed: int = 0) -> Column:
     """The splitmix64 hash of an index, as a signed long; products of 64-bit values need wrapping, so numpy does them."""
-    import pandas as pd
 
     @F.pandas_udf("long")
     def mix(s: pd.Series) -> pd.Series:
-        import numpy as np
-
         with np.errstate(over="ignore"):
             # fixed values of the published generator
             z = s.to_numpy().astype("int64").view("uint64") + np.uint64(seed) + np.uint64(0x9E3779B97F4A7C15)

@@ -81,9 +81,10 @@ def _component_labels(links: DataFrame, rounds: int = 64) -> DataFrame:
     labels = both.select(F.col("u").alias("node")).distinct().withColumn("component", F.col("node"))
     spark = links.sparkSession
     for _ in range(rounds):
-        spread = both.join(labels, F.col("v") == F.col("node")).groupBy("u").agg(F.min("component").alias("c"))
-        new = labels.join(spread, F.col("node") == F.col("u")).select("node", F.least("component", "c").alias("component"))
-        new = new.join(new.select(F.col("node").alias("component"), F.col("component").alias("up")), "component").select("node", F.col("up").alias("component"))
+        spread = both.join(labels.select(F.col("node").alias("v"), "component"), "v").groupBy(F.col("u").alias("node")).agg(F.min("component").alias("c"))
+        new = labels.join(spread, "node").select("node", F.least("component", "c").alias("at"))
+        up = new.select(F.col("node").alias("at"), F.col("at").alias("component"))
+        new = new.join(up, "at").select("node", "component")
         new = new.checkpoint() if spark.sparkContext.getCheckpointDir() else new.persist()
         changed = new.join(labels.withColumnRenamed("component", "old"), "node").filter("component != old").limit(1).count()
         labels = new

@@ -51,9 +51,7 @@ def representatives(points: DataFrame, resolution: int, keys: tuple[str, ...] =
 
 
 def product_picks(points: DataFrame, resolution: int, gps: str) -> DataFrame:
-    """One representative per voxel over all inputs, ties by all columns in order; numbered by (gps time, all columns).
-
-    ``place`` is a global rank, so rows are range-partitioned by ``gps`` first and numbered in two steps.
+    """One representative per voxel over all inputs, ties by all columns in order; rows are sorted by (gps time, all columns).
     """
     picked = representatives(points, resolution, ties=("X", "Y", "Z", *(c for c in points.columns if c not in "XYZ")))
     return picked.orderBy(gps, *points.columns)

@@ -99,17 +99,17 @@ def ground_rows(spark, d):
 
 OWNED = "(west IS NULL OR ax >= x0) AND (east IS NULL OR ax <= x1) AND (south IS NULL OR ay >= y0) AND (north IS NULL OR ay <= y1)"
 HALF_OPEN = "(west IS NULL OR X >= x0) AND (east IS NULL OR X < x1) AND (south IS NULL OR Y >= y0) AND (north IS NULL OR Y < y1)"
-FILTERED = f"""{D}, n AS (SELECT tile, inst, {HALF.format('X')} AS ax, {HALF.format('Y')} AS ay FROM D WHERE inst > 0 GROUP BY tile, inst), w AS (SELECT tile, inst FROM n JOIN N USING (tile) WHERE {OWNED}),
-    C AS (SELECT D.* FROM D JOIN w USING (tile, inst) UNION ALL SELECT D.* FROM D JOIN N USING (tile) WHERE D.inst = 0 AND {HALF_OPEN})"""
+FILTERED = f"""{D}, anc AS (SELECT tile, inst, {HALF.format('X')} AS ax, {HALF.format('Y')} AS ay FROM D WHERE inst > 0 GROUP BY tile, inst), w AS (SELECT tile, inst FROM anc JOIN N USING (tile) WHERE {OWNED}),
+    CF AS (SELECT D.* FROM D JOIN w USING (tile, inst) UNION ALL SELECT D.* FROM D JOIN N USING (tile) WHERE D.inst = 0 AND {HALF_OPEN})"""
 
 
-@query("core_filter", f"WITH {FILTERED.replace(', n AS', ', anc AS').replace('FROM n JOIN', 'FROM anc JOIN')} SELECT tile, pid, inst FROM C")
+@query("core_filter", f"WITH {FILTERED} SELECT tile, pid, inst FROM CF")
 def core_filter(spark, d):
     p, t = rows_and_tiles(spark, d)
     return ownership.core_filter(p, t, grid.neighbors(t)).select("tile", "pid", "inst")
 
 
-@query("kept_rows", f"WITH {FILTERED.replace(', n AS', ', anc AS').replace('FROM n JOIN', 'FROM anc JOIN')} SELECT D.tile, D.pid FROM D ANTI JOIN C ON C.tile = D.tile AND C.pid = D.pid")
+@query("kept_rows", f"WITH {FILTERED} SELECT D.tile, D.pid FROM D ANTI JOIN CF ON CF.tile = D.tile AND CF.pid = D.pid")
 def kept_rows(spark, d):
     p, t = rows_and_tiles(spark, d)
     return p.join(ownership.core_filter(p, t, grid.neighbors(t)).select("tile", "pid"), ["tile", "pid"], "left_anti").select("tile", "pid")
@@ -203,10 +203,10 @@ def recovered_support(spark, d):
     return reconcile.supported(c, reconcile.greedy_cover(c, R2), p.filter("inst > 4"), R2)
 
 
-@query("rct_conflict_edges", f"WITH {D} SELECT DISTINCT q.tile, q.inst, CAST(NULL AS BIGINT) AS other, CAST(NULL AS BIGINT) AS other_inst FROM D q JOIN D b ON q.inst > 6 AND b.inst = 1 AND {d2_sql('q', 'b')} <= {R2} UNION SELECT q.tile, q.inst, b.tile, b.inst FROM D q JOIN D b ON q.inst > 6 AND b.inst > 6 AND (q.tile, q.inst) < (b.tile, b.inst) AND {d2_sql('q', 'b')} <= {R2}")
+@query("rct_conflict_edges", f"WITH {D} SELECT DISTINCT q.tile, q.inst, CAST(-1 AS BIGINT) AS other, CAST(-1 AS BIGINT) AS other_inst FROM D q JOIN D b ON q.inst > 6 AND b.inst = 1 AND {d2_sql('q', 'b')} <= {R2} UNION SELECT q.tile, q.inst, b.tile, b.inst FROM D q JOIN D b ON q.inst > 6 AND b.inst > 6 AND (q.tile, q.inst) < (b.tile, b.inst) AND {d2_sql('q', 'b')} <= {R2}")
 def rct_conflict_edges(spark, d):
     p, _ = rows_and_tiles(spark, d)
-    return reconcile.conflict_edges(p.filter("inst > 6"), p.filter("inst = 1"), R2)
+    return reconcile.conflict_edges(p.filter("inst > 6"), p.filter("inst = 1"), R2).fillna(-1)
 
 
 @query("rct_recovery_gate")
@@ -262,8 +262,8 @@ def core_dedup_pipeline(spark, d):
     return ownership.pipeline(p, t, R2).select("tile", "pid", "inst", "sem")
 
 
-OWNED_CTE = f"{D}, G AS (SELECT tile, pid, X, Y, Z, CASE WHEN inst = 0 THEN 0 ELSE inst END AS inst, sem FROM (SELECT tile, A.* EXCLUDE (tile) FROM A))"
-PLAN = f"""{OWNED_CTE}, Q AS (SELECT inst, tile, count(*) AS n, sum(X) AS sx, sum(Y) AS sy FROM G WHERE inst > 0 GROUP BY inst, tile), S AS (SELECT inst, sum(n) AS n, sum(sx) AS sx, sum(sy) AS sy, count(*) AS parts FROM Q GROUP BY inst HAVING count(*) > 1),
+OWNED_CTE = f"{D}, GG AS (SELECT tile, pid, X, Y, Z, CASE WHEN inst = 0 THEN 0 ELSE inst END AS inst, sem FROM (SELECT tile, A.* EXCLUDE (tile) FROM A))"
+PLAN = f"""{OWNED_CTE}, Q AS (SELECT inst, tile, count(*) AS n, sum(X) AS sx, sum(Y) AS sy FROM GG WHERE inst > 0 GROUP BY inst, tile), S AS (SELECT inst, sum(n) AS n, sum(sx) AS sx, sum(sy) AS sy, count(*) AS parts FROM Q GROUP BY inst HAVING count(*) > 1),
     PL AS (SELECT Q.inst, coalesce(min(Q.tile) FILTER (S.sx BETWEEN x0 * S.n AND x1 * S.n AND S.sy BETWEEN y0 * S.n AND y1 * S.n), arg_min(Q.tile, (-Q.n, Q.tile))) AS owner, any_value(S.parts) AS parts FROM Q JOIN S USING (inst) JOIN T USING (tile) GROUP BY Q.inst)"""
 
 
@@ -273,7 +273,7 @@ def _global(spark, d):
     return grid.assign_buffered(p.select("pid", "X", "Y", "Z", "inst", "sem"), t, 200, 40), t
 
 
-@query("split_instances", f"WITH {OWNED_CTE} SELECT inst, count(DISTINCT tile) AS tiles FROM G WHERE inst > 0 GROUP BY inst HAVING count(DISTINCT tile) > 1")
+@query("split_instances", f"WITH {OWNED_CTE} SELECT inst, count(DISTINCT tile) AS tiles FROM GG WHERE inst > 0 GROUP BY inst HAVING count(DISTINCT tile) > 1")
 def split_instances(spark, d):
     return instances.split_instances(_global(spark, d)[0])
 
@@ -283,19 +283,19 @@ def owner_plan(spark, d):
     return instances.owner_plan(*_global(spark, d))
 
 
-@query("consolidated", f"WITH {PLAN} SELECT coalesce(PL.owner, G.tile) AS tile, G.tile AS from_tile, pid, G.inst FROM G LEFT JOIN PL USING (inst)")
+@query("consolidated", f"WITH {PLAN} SELECT coalesce(PL.owner, GG.tile) AS tile, GG.tile AS from_tile, pid, GG.inst FROM GG LEFT JOIN PL USING (inst)")
 def consolidated(spark, d):
     p, t = _global(spark, d)
     return instances.consolidate(p, instances.owner_plan(p, t)).select("tile", "from_tile", "pid", "inst")
 
 
-@query("moved_points", f"WITH {PLAN} SELECT PL.owner AS tile, count(*) AS moved FROM G JOIN PL USING (inst) WHERE G.tile != PL.owner GROUP BY 1")
+@query("moved_points", f"WITH {PLAN} SELECT PL.owner AS tile, count(*) AS moved FROM GG JOIN PL USING (inst) WHERE GG.tile != PL.owner GROUP BY 1")
 def moved_points(spark, d):
     p, t = _global(spark, d)
     return instances.moved(instances.consolidate(p, instances.owner_plan(p, t)))
 
 
-@query("verify_distinct", f"WITH {PLAN} SELECT G.inst, CAST(1 AS BIGINT) AS tiles FROM G GROUP BY G.inst HAVING FALSE")
+@query("verify_distinct", f"WITH {PLAN} SELECT GG.inst, CAST(1 AS BIGINT) AS tiles FROM GG GROUP BY GG.inst HAVING FALSE")
 def verify_distinct(spark, d):
     p, t = _global(spark, d)
     return instances.split_instances(instances.consolidate(p, instances.owner_plan(p, t)))
@@ -327,10 +327,10 @@ def transfer_labels(spark, d):
     return product.require_covered(product.transfer(p, m, 4_000_000)).select("pid", "label", "label_sem", "d2")
 
 
-@query("remap_originals", f"WITH {E} SELECT E.file, E.pid, m.label AS m1, coalesce(n.label, 0) AS m2 FROM E LEFT JOIN ({LABEL.format(r=10_000)}) m USING (pid) LEFT JOIN ({LABEL.format(r=2_500)}) n USING (pid)")
+@query("remap_originals", f"WITH {E} SELECT E.file, E.pid, coalesce(m.label, -1) AS m1, coalesce(n.label, 0) AS m2 FROM E LEFT JOIN ({LABEL.format(r=10_000)}) m USING (pid) LEFT JOIN ({LABEL.format(r=2_500)}) n USING (pid)")
 def remap_originals(spark, d):
     m, p = _model(spark, d)
-    return product.remap(p, {"m1": (m, 10_000, False), "m2": (m, 2_500, True)}).select("file", "pid", "m1", "m2")
+    return product.remap(p, {"m1": (m, 10_000, False), "m2": (m, 2_500, True)}).select("file", "pid", F.coalesce("m1", F.lit(-1).cast("long")).alias("m1"), "m2")
 
 
 @query("compact_ids", f"WITH {V}, m AS (SELECT inst, dense_rank() OVER (ORDER BY inst) AS new FROM (SELECT DISTINCT inst FROM V WHERE inst > 0 AND inst % 3 != 1)) SELECT pid, coalesce(new, 0) AS new FROM V LEFT JOIN m USING (inst) WHERE inst % 3 != 1")

@@ -44,14 +44,14 @@ def tile_grid(spark, d):
     return layout(cloud(spark, d, "E"), "E")
 
 
-@query("tile_neighbors", f"WITH {dense_sql('E')} SELECT tile, east, west, north, south FROM N")
+@query("tile_neighbors", f"WITH {dense_sql('E')} SELECT tile, coalesce(east, -1) AS east, coalesce(west, -1) AS west, coalesce(north, -1) AS north, coalesce(south, -1) AS south FROM N")
 def tile_neighbors(spark, d):
-    return grid.neighbors(layout(cloud(spark, d, "E"), "E"))
+    return grid.neighbors(layout(cloud(spark, d, "E"), "E")).fillna(-1)
 
 
-@query("tile_neighbors_geometric", f"WITH {dense_sql('E')} SELECT tile, east, west, north, south FROM N")
+@query("tile_neighbors_geometric", f"WITH {dense_sql('E')} SELECT tile, coalesce(east, -1) AS east, coalesce(west, -1) AS west, coalesce(north, -1) AS north, coalesce(south, -1) AS south FROM N")
 def tile_neighbors_geometric(spark, d):
-    return grid.nearest_neighbors(layout(cloud(spark, d, "E"), "E"))
+    return grid.nearest_neighbors(layout(cloud(spark, d, "E"), "E")).fillna(-1)
 
 
 @query("tile_overlaps", f"WITH {dense_sql('E')} SELECT * FROM O")
@@ -152,9 +152,9 @@ def tile_voxel_com(spark, d):
     return voxel.tile_product(p, layout(p, "L"), *TILES["L"], [500, 2000])
 
 
-@query("original_passthrough", f"WITH {E} SELECT CAST(0 AS BIGINT) AS res, CAST(NULL AS BIGINT) AS kx, CAST(NULL AS BIGINT) AS ky, CAST(NULL AS BIGINT) AS kz, CAST(1 AS BIGINT) AS n, X, Y, Z FROM E UNION ALL {_multi('E', (100,), False)}")
+@query("original_passthrough", f"WITH {E} SELECT CAST(0 AS BIGINT) AS res, CAST(-99 AS BIGINT) AS kx, CAST(-99 AS BIGINT) AS ky, CAST(-99 AS BIGINT) AS kz, CAST(1 AS BIGINT) AS n, X, Y, Z FROM E UNION ALL {_multi('E', (100,), False)}")
 def original_passthrough(spark, d):
-    return voxel.centers_multi(cloud(spark, d, "E"), [0, 100])
+    return voxel.centers_multi(cloud(spark, d, "E"), [0, 100]).fillna(-99)
 
 
 def _rep(src: str, r: int, cols: str, keys: str = "", ties: str = "X, Y, Z") -> str:
