@@ -70,7 +70,7 @@ def ulp_guard(largest: float, ulps: int = 8) -> float:
     return ulps * math.ulp(max(1.0, abs(largest)))
 
 
-def lattice_isexact_div(scale: str, radius: str, extent: float) -> bool:
+def lattice_is_exact(scale: str, radius: str, extent: float) -> bool:
     """Whether no lattice distance but the radius itself falls into the guard around it."""
     s, r = Fraction(scale), Fraction(radius)
     return s * s / (2 * r) > Fraction(ulp_guard(extent))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxstrata.functions.lattice import floor_div
+from voxstrata.operators.lineage import cut
 
 NODE = ("nx", "ny", "nz")
 
@@ -17,7 +18,6 @@ def lod_levels(points: DataFrame, origin: tuple[int, int, int], size: int, *, gr
     ``size * 2 ** -depth`` should be a lattice unit or more. Every level is one pass over what remains, cut off by a
     checkpoint; a few levels hold nearly all points.
     """
-    spark = points.sparkSession
     rest = points.select("*", *((F.col(a) - o).alias(f"_{a}") for a, o in zip("XYZ", origin, strict=True)))
     done = None
     for level in range(depth + 1):
@@ -29,7 +29,7 @@ def lod_levels(points: DataFrame, origin: tuple[int, int, int], size: int, *, gr
             rest = rest.withColumn("_full", F.count("*").over(node) > leaf).withColumn("_take", ~F.col("_full") | (F.row_number().over(voxel) == 1))
         else:
             rest = rest.withColumn("_take", F.lit(True))
-        rest = rest.checkpoint() if spark.sparkContext.getCheckpointDir() else rest.persist()
+        rest = cut(rest)
         taken = rest.filter("_take").select(*points.columns, F.lit(level).alias("level"), *NODE)
         done = taken if done is None else done.unionByName(taken)
         rest = rest.filter("NOT _take").drop("_take", "_full")
@@ -46,11 +46,10 @@ def importance_levels(cylinders: DataFrame, size: int, capacity: int, depth: int
     """Each cylinder's node: a node keeps its ``capacity`` most important ones (radius times length, then id), the others
     go to the eight children by their midpoints (mx, my, mz in [0, size))."""
     rest, done = cylinders.withColumn("node", F.lit("r")), None
-    spark = cylinders.sparkSession
     for level in range(depth + 1):
         rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("importance"), "id"))
         here = rest.withColumn("_rank", rank)
-        here = here.checkpoint() if spark.sparkContext.getCheckpointDir() else here.persist()
+        here = cut(here)
         taken = here.filter((F.col("_rank") <= capacity) if level < depth else F.lit(True)).drop("_rank").withColumn("level", F.lit(level))
         done = taken if done is None else done.unionByName(taken)
         if level == depth:
@@ -66,7 +65,7 @@ def importance_levels(cylinders: DataFrame, size: int, capacity: int, depth: int
 def node_statistics(levels: DataFrame) -> DataFrame:
     """Per node: level, count, least and largest radius, and the mask of its children."""
     own = levels.groupBy("node", "level").agg(F.count("*").alias("n"), F.min("radius").alias("min_radius"), F.max("radius").alias("max_radius"))
-    parent, octant = F.expr("left(node, length(node) - 1)"), F.expr("CAST(right(node, 1) AS INT)")
+    parent = F.expr("left(node, length(node) - 1)")
     children = own.filter("level > 0").groupBy(parent.alias("node")).agg(F.expr("bit_or(shiftleft(1, CAST(right(node, 1) AS INT)))").alias("children"))
     return own.join(children, "node", "left").select("node", "level", "n", "min_radius", "max_radius", F.coalesce("children", F.lit(0)).alias("children"))
 

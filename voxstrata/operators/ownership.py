@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from voxstrata.functions.lattice import rect_distance2
 from voxstrata.operators import grid, instances, nearest
+from voxstrata.operators.lineage import cut
 
 KEYS = ("tile", "pid")
 
@@ -93,13 +94,11 @@ def deduplicate(points: DataFrame, overlapping: DataFrame, limit2: int) -> DataF
     if not level:
         return points
     levels = spark.createDataFrame(sorted(level.items()), "tile long, level int")
-    rows = points.join(F.broadcast(levels), "tile", "left").fillna(0, ["level"])
+    rows = cut(points.join(F.broadcast(levels), "tile", "left").fillna(0, ["level"]))
     done = rows.filter("level = 0").drop("level")
     for k in range(1, max(level.values()) + 1):
         now = rows.filter(F.col("level") == k).drop("level")
-        done = done.unionByName(now.join(_duplicates(now, done, limit2), list(KEYS), "left_anti"))
-        if spark.sparkContext.getCheckpointDir():
-            done = done.checkpoint()
+        done = cut(done.unionByName(now.join(_duplicates(now, done, limit2), list(KEYS), "left_anti")))
     return done
 
 

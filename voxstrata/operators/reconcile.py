@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxstrata.operators import nearest
+from voxstrata.operators.lineage import cut
 
 PAIR = ("tile", "a", "other", "b")
 
@@ -78,14 +79,14 @@ def ordered_edges(edges: DataFrame, normal: Column | None = None) -> DataFrame:
 def _component_labels(links: DataFrame, rounds: int = 64) -> DataFrame:
     """(node, component) of undirected links (u, v) by spreading the least node; each round is cut off by a checkpoint."""
     both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
+    both = cut(both)
     labels = both.select(F.col("u").alias("node")).distinct().withColumn("component", F.col("node"))
-    spark = links.sparkSession
     for _ in range(rounds):
         spread = both.join(labels.select(F.col("node").alias("v"), "component"), "v").groupBy(F.col("u").alias("node")).agg(F.min("component").alias("c"))
         new = labels.join(spread, "node").select("node", F.least("component", "c").alias("at"))
         up = new.select(F.col("node").alias("at"), F.col("at").alias("component"))
         new = new.join(up, "at").select("node", "component")
-        new = new.checkpoint() if spark.sparkContext.getCheckpointDir() else new.persist()
+        new = cut(new)
         changed = new.join(labels.withColumnRenamed("component", "old"), "node").filter("component != old").limit(1).count()
         labels = new
         if not changed:
@@ -131,10 +132,11 @@ def _union(edges: pd.DataFrame, centroids: dict, overlaps: set, most: float) ->
 def reconciled(points: DataFrame, overlapping: DataFrame, edges: DataFrame, most_distance: int = 5000) -> DataFrame:
     """(tile, inst) -> group, 1..G by the least member; unions are constrained and ordered."""
     node = lambda t, i: F.col(t) * (1 << 32) + F.col(i)
+    edges = cut(edges)
     labels = _component_labels(edges.select(node("tile", "a").alias("u"), node("other", "b").alias("v")))
     tagged = edges.join(labels, node("tile", "a") == F.col("node")).select("component", *PAIR, "n")
     keys = tagged.select("component", F.col("tile"), F.col("a").alias("inst")).unionByName(tagged.select("component", F.col("other").alias("tile"), F.col("b").alias("inst"))).distinct()
-    shapes = overlap_shapes(points, overlapping).join(keys, ["tile", "inst"]).select("component", "tile", "other", "inst", *((F.col(f"s{x}") / F.col("n")).alias(f"c{x}") for x in "xyz"))
+    shapes = overlap_shapes(points, overlapping).join(keys, ["tile", "inst"]).select(F.col("component").alias("part"), "tile", "other", "inst", *((F.col(f"s{x}") / F.col("n")).alias(f"c{x}") for x in "xyz"))
     allowed = {(r[0], r[1]) for r in overlapping.select("later", "earlier").collect()}  # tiles, not points
 
     def solve(key, e: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
@@ -142,7 +144,7 @@ def reconciled(points: DataFrame, overlapping: DataFrame, edges: DataFrame, most
         found = _union(e, centroids, allowed, most_distance)
         return pd.DataFrame([(k[0], k[1], r[0], r[1]) for k, r in sorted(found.items())], columns=["tile", "inst", "root_tile", "root_inst"])
 
-    solved = tagged.groupBy("component").cogroup(shapes.groupBy("component")).applyInPandas(solve, "tile long, inst long, root_tile long, root_inst long")
+    solved = tagged.groupBy("component").cogroup(shapes.groupBy("part")).applyInPandas(solve, "tile long, inst long, root_tile long, root_inst long")
     every = points.filter("inst > 0").select("tile", "inst").distinct().join(solved, ["tile", "inst"], "left")
     every = every.select("tile", "inst", F.coalesce("root_tile", "tile").alias("rt"), F.coalesce("root_inst", "inst").alias("ri"))
     return every.select("tile", "inst", F.dense_rank().over(Window.orderBy("rt", "ri")).cast("long").alias("group"))
@@ -164,6 +166,7 @@ def greedy_cover(claimed: DataFrame, limit2: int, conflicts: DataFrame | None =
     """(tile, inst, place, score): repeatedly the candidate with most uncovered locations (then the first) is admitted and
     covers every location within reach of any of its own; candidates in ``conflicts`` ((tile, inst) pairs, or pairs with
     an admitted (other, other_inst)) are blocked and never tried again."""
+    claimed = cut(claimed)
     loc = claimed.select("X", "Y", "Z").distinct().withColumn("pid", F.xxhash64("X", "Y", "Z"))
     near = nearest.pairs(loc, loc, limit2).select(F.col("q_pid").alias("u"), F.col("b_pid").alias("v"))
     own = claimed.withColumn("pid", F.xxhash64("X", "Y", "Z")).select("tile", "inst", "pid")
