@@ -34,7 +34,7 @@ SIZE = len(ALPHABET) + 1  # the last stands for both ends
 CODE = np.full(128, SIZE - 1, np.int64)
 CODE[[ord(x) for x in ALPHABET]] = np.arange(len(ALPHABET))
 #: A model span has this length at least, this log ratio in all and this much for each character.
-LEAST_LENGTH, LEAST_RATIO, LEAST_EACH = 20, 16.0, 0.75
+LEAST_LENGTH, LEAST_RATIO, LEAST_EACH = 20, 16.0, 0.4
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
