@@ -33,12 +33,18 @@ def cloud(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         t = table(spark, sf_dir, "events")
         kinds = ["view", "click", "purchase", "signup"]
         sem = F.coalesce(F.array_position(F.array(*map(F.lit, kinds)), F.col("event_type")), F.lit(0))
-        return t.select(
+        return _dealt(t.select(
             F.col("event_id").alias("pid"), long(F.col("user_id") % 3).alias("file"), long(F.round(F.col("value") * 100)).alias("X"), long(F.col("user_id") * 100).alias("Y"),
             long(F.hour("ts") * 60 + F.minute("ts")).alias("Z"), long(F.col("user_id") % 50).alias("inst"), long(F.when(sem == 0, 4).otherwise(sem - 1)).alias("sem"), F.unix_micros(F.col("ts").cast("timestamp")).alias("gps"),
-        )
+        ))
     t = table(spark, sf_dir, "lineitem")
-    return t.select(long(F.col("l_orderkey") % 4).alias("file"), long(F.col("l_partkey") * 100).alias("X"), long(F.col("l_suppkey") * 100).alias("Y"), long(F.round(F.col("l_quantity") * 100)).alias("Z"), long(F.col("l_suppkey")).alias("inst"))
+    return _dealt(t.select(long(F.col("l_orderkey") % 4).alias("file"), long(F.col("l_partkey") * 100).alias("X"), long(F.col("l_suppkey") * 100).alias("Y"), long(F.round(F.col("l_quantity") * 100)).alias("Z"), long(F.col("l_suppkey")).alias("inst")))
+
+
+def _dealt(points: DataFrame) -> DataFrame:
+    """A table in fewer pieces than there are cores is dealt out once, narrow as it is; larger ones stay as they lie."""
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    return points.repartition(cores) if points.rdd.getNumPartitions() < cores else points
 
 
 def layout(points: DataFrame, name: str) -> DataFrame:
