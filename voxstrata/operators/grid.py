@@ -146,3 +146,43 @@ def layout_rows(spark: SparkSession, path: str) -> DataFrame:
     rows = doc.select(F.posexplode("tiles").alias("tile", "t"))
     side = lambda which, i, j: F.col(f"t.{which}")[i][j].cast("double")
     return rows.select("tile", "t.col", "t.row", *(side(w, i, j).alias(f"{p}{a}{j}") for w, p in (("core", ""), ("bounds", "b")) for i, a in enumerate("xy") for j in (0, 1)))
+
+
+def match_files(files: list[tuple], tiles: list[tuple], steps: tuple[float, ...] = (0.1, 0.5, 1.0, 2.0, 5.0)) -> dict[int, int]:
+    """Files to tiles of a layout by their bounds (x0, x1, y0, y1): with a growing tolerance on all four sides, each file
+    takes the free tile of least total difference; files left over take the free tile of nearest centre that holds theirs.
+
+    Both lists are a layout's, so this runs on the driver. Unmatched files are absent from the result.
+    """
+    taken: dict[int, int] = {}
+    free = set(range(len(tiles)))
+
+    def take(i: int, scored: list[tuple]) -> None:
+        if scored:
+            taken[i] = min(scored)[1]
+            free.discard(taken[i])
+
+    for step in steps:
+        for i, f in enumerate(files):
+            if i not in taken:
+                gaps = {t: [abs(a - b) for a, b in zip(f, tiles[t], strict=True)] for t in free}
+                take(i, [(sum(g), t) for t, g in gaps.items() if max(g) <= step])
+    for i, f in enumerate(files):
+        if i not in taken:
+            cx, cy = (f[0] + f[1]) / 2, (f[2] + f[3]) / 2
+            inside = [t for t in free if tiles[t][0] <= cx <= tiles[t][1] and tiles[t][2] <= cy <= tiles[t][3]]
+            take(i, [((cx - sum(tiles[t][:2]) / 2) ** 2 + (cy - sum(tiles[t][2:]) / 2) ** 2, t) for t in inside])
+    return taken
+
+
+def instance_tiles(points: DataFrame, tiles: DataFrame, resolution: int) -> DataFrame:
+    """Whole instances in the tile that owns their (rounded) centroid, background by point, one representative per
+    instance and voxel; resolution 0 keeps all points."""
+    from voxstrata.operators import instances, voxel
+
+    centers = instances.anchors(points, "centroid").select(F.col("inst").alias("pid"), F.col("ax").alias("X"), F.col("ay").alias("Y"))
+    trees = points.filter("inst > 0").join(owner_core(centers, tiles).select(F.col("pid").alias("inst"), F.col("owner").alias("tile")), "inst")
+    ground = points.filter("inst = 0")
+    ground = ground.join(owner_core(ground, tiles).select("pid", F.col("owner").alias("tile")), "pid")
+    rows = trees.select("tile", *points.columns).unionByName(ground.select("tile", *points.columns))
+    return rows if resolution == 0 else voxel.representatives(rows, resolution, ("tile", "inst"), ("X", "Y", "Z", "pid"))

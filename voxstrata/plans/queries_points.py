@@ -319,3 +319,22 @@ def occupied_cells(spark, d):
 @query("morton_code", "WITH " + E + " SELECT pid, CAST(" + " + ".join(f"((({a} + 1000) >> {i}) & 1) * {1 << (3 * i + k)}" for i in range(11) for k, a in enumerate("XYZ")) + " AS BIGINT) AS code FROM E")
 def morton_code(spark, d):
     return cloud(spark, d, "E").select("pid", lattice.morton3(*(F.col(a) + 1000 for a in "XYZ"), bits=11).alias("code"))
+
+
+ANCHORS = "SELECT inst, CAST(round_even(CAST(sum(X) AS DOUBLE) / count(*), 0) AS BIGINT) AS X, CAST(round_even(CAST(sum(Y) AS DOUBLE) / count(*), 0) AS BIGINT) AS Y FROM E WHERE inst > 0 GROUP BY inst"
+
+
+@query("instance_tiles", f"WITH {tiles_sql('E')}, K AS ({ANCHORS}), W AS (SELECT K.inst, arg_min(T.tile, ({rect_sql('K', 'T')}, T.tile)) AS tile FROM K, T GROUP BY K.inst), B AS (SELECT E.pid, arg_min(T.tile, ({rect_sql('E', 'T')}, T.tile)) AS tile FROM E, T WHERE inst = 0 GROUP BY E.pid), J AS (SELECT W.tile, E.* FROM E JOIN W USING (inst) UNION ALL SELECT B.tile, E.* FROM E JOIN B USING (pid)) {_rep('J', 150, 'tile, pid, inst', 'tile, inst, ', 'X, Y, Z, pid')}")
+def instance_tiles(spark, d):
+    p = cloud(spark, d, "E")
+    return grid.instance_tiles(p.select("pid", "X", "Y", "Z", "inst"), layout(p, "E"), 150).select("tile", "pid", "inst", "kx", "ky", "kz", "n")
+
+
+@query("file_layout_match", f"WITH {tiles_sql('E')} SELECT tile AS file, tile FROM T")
+def file_layout_match(spark, d):
+    """Files whose bounds are a little off find their tile again."""
+    rows = layout(cloud(spark, d, "E"), "E").orderBy("tile").collect()
+    tiles = [(r.x0, r.x1, r.y0, r.y1) for r in rows]
+    files = [(a + 0.4 * (i % 3), b - 1.5 * (i % 2), c, e + 0.05) for i, (a, b, c, e) in enumerate(tiles)]
+    found = grid.match_files(files, tiles)
+    return spark.createDataFrame([(rows[i].tile, rows[t].tile) for i, t in sorted(found.items())], "file long, tile long")
