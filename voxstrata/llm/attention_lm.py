@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 
-WINDOW, STEP, WIDTH, GROUP = 16, 8, 16, 32
+WINDOW, STEP, WIDTH, GROUP = 16, 12, 16, 32
 #: Windows whose arrays fit a core's cache, and windows held for the second step.
 BATCH, HELD = 128, 4096
 

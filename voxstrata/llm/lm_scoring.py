@@ -26,10 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import attention_lm as lm
 from .common import arrow_type, id_and_text, map_lists, stored
-from pyspark.sql import types as T
 
 #: GPT-like pre-tokens of a line of words.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -182,7 +182,7 @@ def _round(table: DataFrame, model: Model, thin: int, turn: int) -> None:
             at += model.p[n].size
 
 
-def fit(table: DataFrame, size: int, thin: int = 24, rounds: int = 2) -> Model:
+def fit(table: DataFrame, size: int, thin: int = 36, rounds: int = 2) -> Model:
     """Learn from the rows that aren't held out; ``size``: how many ids the encoder has; the end is one more."""
     end = lambda rows: np.concatenate([y for x in rows for y in (x, [size])])
     counts = _sums(table, size + 1, end)
@@ -209,7 +209,7 @@ def fit(table: DataFrame, size: int, thin: int = 24, rounds: int = 2) -> Model:
     return model
 
 
-def scores(docs: DataFrame, ranks: str, *, thin: int = 24, rounds: int = 2, hot_words: int = 300_000, **columns) -> DataFrame:
+def scores(docs: DataFrame, ranks: str, *, thin: int = 36, rounds: int = 2, hot_words: int = 250_000, **columns) -> DataFrame:
     """Per document: held_out, n_tokens, n_known, train_tokens, base_score and score (base-10 logarithms)."""
     spark = docs.sparkSession
     table = stored(encoded(docs, ranks, **columns), "lm-encoded")
@@ -226,15 +226,14 @@ def scores(docs: DataFrame, ranks: str, *, thin: int = 24, rounds: int = 2, hot_
             break
         least = row["c"]
     common = {bytes(r["word"]): r["c"] for r in counts.filter(F.col("c") >= least).collect()} if least is not None else {}
-    hot = spark.sparkContext.broadcast((common, fit(table, len(_ranks(ranks)), thin, rounds)))
-    cost = lambda c: math.log10((c + 1) / divisor)
+    costs = {w: math.log10((c + 1) / divisor) for w, c in common.items()}
+    hot = spark.sparkContext.broadcast((costs, fit(table, len(_ranks(ranks)), thin, rounds)))
     schema = T._parse_datatype_string("row long, doc_id long, held_out boolean, n_tokens long, score double, word binary, n long, base double, known long")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        common, model = hot.value
-        costs = {w: cost(c) for w, c in common.items()}
+        costs, model = hot.value
         row = TaskContext.get().partitionId() << 40
         get, ended = costs.get, costs.get(END)
         for batch in batches:
