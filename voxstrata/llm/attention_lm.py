@@ -75,7 +75,7 @@ def attend(p: dict, pad: int, context: np.ndarray) -> tuple:
 
 def _step(z: np.ndarray, logs: np.ndarray, asked: np.ndarray, want: np.ndarray) -> np.ndarray:
     """Log probabilities of ``want`` for logits ``z`` plus the bigram's rows; ``z`` is bounded and overwritten."""
-    np.clip(z, -60, 60, out=z)
+    np.minimum(z, 60, out=z)  # the bigram's logarithms aren't positive, so no exponential overflows
     z += np.take(logs, asked, axis=0)
     got = z[np.arange(len(z)), want]
     np.exp(z, out=z)

@@ -61,7 +61,7 @@ def encoded(docs: DataFrame, ranks: str, *, id_col: str = "doc_id", text_col: st
         coder = _coder(ranks)
 
         def apply(keys, texts, holds):
-            lines = [b"".join(b" " + w for w in words(t)) for t in texts]
+            lines = [b" " + b" ".join(w) if (w := words(t)) else b"" for t in texts]
             ids = [coder.encode_to_numpy(x.decode("utf-8", "replace"), disallowed_special=()).astype("<u2").tobytes() if x else b"" for x in lines]
             return [keys, holds, lines, ids]
 
@@ -182,7 +182,7 @@ def _round(table: DataFrame, model: Model, thin: int, turn: int) -> None:
             at += model.p[n].size
 
 
-def fit(table: DataFrame, size: int, thin: int = 36, rounds: int = 2) -> Model:
+def fit(table: DataFrame, size: int, thin: int = 72, rounds: int = 2) -> Model:
     """Learn from the rows that aren't held out; ``size``: how many ids the encoder has; the end is one more."""
     end = lambda rows: np.concatenate([y for x in rows for y in (x, [size])])
     counts = _sums(table, size + 1, end)
@@ -209,7 +209,7 @@ def fit(table: DataFrame, size: int, thin: int = 36, rounds: int = 2) -> Model:
     return model
 
 
-def scores(docs: DataFrame, ranks: str, *, thin: int = 36, rounds: int = 2, hot_words: int = 250_000, **columns) -> DataFrame:
+def scores(docs: DataFrame, ranks: str, *, thin: int = 72, rounds: int = 2, hot_words: int = 250_000, **columns) -> DataFrame:
     """Per document: held_out, n_tokens, n_known, train_tokens, base_score and score (base-10 logarithms)."""
     spark = docs.sparkSession
     table = stored(encoded(docs, ranks, **columns), "lm-encoded")
@@ -230,6 +230,9 @@ def scores(docs: DataFrame, ranks: str, *, thin: int = 36, rounds: int = 2, hot_
     hot = spark.sparkContext.broadcast((costs, fit(table, len(_ranks(ranks)), thin, rounds)))
     schema = T._parse_datatype_string("row long, doc_id long, held_out boolean, n_tokens long, score double, word binary, n long, base double, known long")
 
+    made = arrow_type(schema)
+    types = made.types
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -240,25 +243,32 @@ def scores(docs: DataFrame, ranks: str, *, thin: int = 36, rounds: int = 2, hot_
             for a in range(0, batch.num_rows, 200):
                 keys, holds, lines, ids = (c.slice(a, 200).to_pylist() for c in batch.columns)
                 logs = model.scores([np.frombuffer(x, "<u2").astype(np.int64) for x in ids])
-                out: list[list] = [[] for _ in range(9)]
+                whole: list[tuple] = []
+                rare: tuple[list, list, list] = ([], [], [])
                 for key, hold, line, log in zip(keys, holds, lines, logs, strict=True):
                     tokens = line.split()
                     found = [get(w) for w in tokens]
-                    rare: Counter = Counter()
+                    missed: Counter = Counter()
                     if None in found:
-                        rare.update(w for w, x in zip(tokens, found, strict=True) if x is None)
+                        missed.update(w for w, x in zip(tokens, found, strict=True) if x is None)
                         found = [x for x in found if x is not None]
                     if ended is not None:
                         found.append(ended)
                     else:
-                        rare[END] += 1
+                        missed[END] += 1
                     # the row's own word holds a space, so it joins no count
-                    rows = [(row, key, hold, len(tokens) + 1, log / math.log(10), b"  %d" % row, 0, math.fsum(found), len(found))]
-                    rows += [(row, None, None, None, None, w, n, 0.0, 0) for w, n in rare.items()]
-                    for column, values in zip(out, zip(*rows, strict=True), strict=True):
-                        column.extend(values)
+                    whole.append((row, key, hold, len(tokens) + 1, log / math.log(10), b"  %d" % row, 0, math.fsum(found), len(found)))
+                    rare[0].extend([row] * len(missed))
+                    rare[1].extend(missed)
+                    rare[2].extend(missed.values())
                     row += 1
-                yield pa.record_batch([pa.array(x, type=t) for x, t in zip(out, arrow_type(schema).types, strict=True)], schema=arrow_type(schema))
+                yield pa.record_batch([pa.array(x, type=t) for x, t in zip(zip(*whole, strict=True), types, strict=True)], schema=made)
+                if rare[0]:
+                    n = len(rare[0])
+                    columns = [pa.nulls(n, t) for t in types]
+                    columns[0], columns[5], columns[6] = pa.array(rare[0], types[0]), pa.array(rare[1], types[5]), pa.array(rare[2], types[6])
+                    columns[7], columns[8] = pa.array(np.zeros(n)), pa.array(np.zeros(n, np.int64))
+                    yield pa.record_batch(columns, schema=made)
 
     seen = table.select("doc_id", "held_out", "line", "ids").mapInArrow(score, schema)
     joined = seen.join(counts, "word", "left")
