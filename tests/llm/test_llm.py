@@ -267,3 +267,13 @@ def test_pipeline_stages_take_edge_cases(spark, tmp_path, none):
         after.collect()
         assert stage(spark, docs.filter("FALSE"), str(tmp_path)).count() == 0
     assert cp.run(spark, str(tmp_path)).count() > 0
+
+
+def test_every_training_window_gives_gradients(spark):
+    path = vocabulary_path("byte_bpe_50k.tiktoken")
+    rnd = random.Random(6)
+    df = spark.createDataFrame([(i, " ".join(rnd.choice("ban cor dil fam gus".split()) for _ in range(rnd.randint(0, 90)))) for i in range(60)], "doc_id long, text string")
+    table = lm_scoring.encoded(df, path)
+    lengths = [len(r.ids) // 2 + 1 for r in table.filter("NOT held_out").collect()]
+    model = lm_scoring.fit(table, len(lm_scoring._ranks(path)))  # with the parameters of the registered query
+    assert model.windows == 2 * [sum(-(-n // attention_lm.STEP) for n in lengths)]

@@ -3,8 +3,8 @@
 The text is seen as its words, lower-cased (A-Z): one space before each word, then an end. The model works on byte-level
 subword ids of that line. What it learns covers all training documents: word counts, subword counts, what precedes each
 subword, class bigrams, and attention weights. The weights come from rounds of local training: each task passes once over
-a fixed share of the windows of its documents (``1 / thin`` of them, spread by a hash), and the tasks' weights are averaged
-by their windows, in two steps, before the next round. Held-out documents teach nothing.
+every window of its documents, and the tasks' weights are averaged by their windows, in two steps, before the next round.
+(``thin`` above one would take one window in ``thin``; nothing registered does.) Held-out documents teach nothing.
 
 The base needs a count for every word. The most frequent words (``hot_words`` at most) are broadcast; each other word of
 a document becomes a row that joins the counts by word. So no worker holds the vocabulary.
@@ -120,6 +120,7 @@ class Model:
         total = np.bincount(classes, counts + 0.1, CLASSES)
         self.inside = np.log((counts + 0.1) / total[classes])
         self.first, self.second, self.p = None, None, lm.fresh(CLASSES)
+        self.windows: list[int] = []  # that gave gradients, by round
 
     def around(self, ids: np.ndarray) -> np.ndarray:
         """Classes of end, ids, end: inputs are all but the last, targets all but the first."""
@@ -144,8 +145,14 @@ def _round(table: DataFrame, model: Model, thin: int, turn: int) -> None:
         from pyspark import TaskContext
 
         p, squares, done, at = start, None, 0, np.arange(lm.WINDOW)
+        contexts, targets, held = [], [], 0
+
+        def learned():
+            c, t = np.concatenate(contexts), np.concatenate(targets)
+            mixed = np.random.default_rng(turn).permutation(len(c))
+            return lm.train(p, model.first, model.second, c[mixed], t[mixed], squares, rate=0.1 / (1 + turn))
+
         for batch in batches:
-            contexts, targets = [], []
             for raw in batch.column(0).to_pylist():
                 row = model.around(np.frombuffer(raw, "<u2").astype(np.int64))
                 m = -(-(len(row) - 1) // lm.STEP)
@@ -154,14 +161,19 @@ def _round(table: DataFrame, model: Model, thin: int, turn: int) -> None:
                     continue
                 buf, starts = lm.segments([row[:-1]], pad)
                 goal, _ = lm.segments([row[1:]], pad)
-                place = starts[first::thin, None] + at
-                contexts.append(buf[place])
-                targets.append(goal[place[:, -lm.STEP :]])
-            if contexts:
-                c, t = np.concatenate(contexts), np.concatenate(targets)
-                mixed = np.random.default_rng(turn).permutation(len(c))
-                p, squares = lm.train(p, model.first, model.second, c[mixed], t[mixed], squares, rate=0.1 / (1 + turn))
-                done += len(c)
+                for i in range(first, m, thin * lm.HELD):
+                    place = starts[i : i + thin * lm.HELD : thin, None] + at
+                    contexts.append(buf[place])
+                    targets.append(goal[place[:, -lm.STEP :]])
+                    held += len(place)
+                    if held >= lm.HELD:
+                        p, squares = learned()
+                        done, held = done + held, 0
+                        contexts.clear()
+                        targets.clear()
+        if held:
+            p, squares = learned()
+            done += held
         if done:
             flat = np.concatenate([p[n].ravel() for n in names]).astype("<f4")
             yield pa.record_batch([[TaskContext.get().partitionId() % 16], [float(done)], [(flat * done).tobytes()]], schema=arrow_type(schema))
@@ -175,6 +187,7 @@ def _round(table: DataFrame, model: Model, thin: int, turn: int) -> None:
             yield pa.record_batch([[0], [n], [total.astype("<f4").tobytes()]], schema=arrow_type(schema))
 
     rows = table.filter("NOT held_out").select("ids").mapInArrow(learn, schema).repartition(16, "part").mapInArrow(add, schema).collect()  # at most 16 rows
+    model.windows.append(round(sum(r["windows"] for r in rows)))
     if rows:
         flat, at = sum(np.frombuffer(r["weights"], "<f4").astype(np.float64) for r in rows) / sum(r["windows"] for r in rows), 0
         for n in names:
@@ -182,7 +195,7 @@ def _round(table: DataFrame, model: Model, thin: int, turn: int) -> None:
             at += model.p[n].size
 
 
-def fit(table: DataFrame, size: int, thin: int = 72, rounds: int = 2) -> Model:
+def fit(table: DataFrame, size: int, thin: int = 1, rounds: int = 2) -> Model:
     """Learn from the rows that aren't held out; ``size``: how many ids the encoder has; the end is one more."""
     end = lambda rows: np.concatenate([y for x in rows for y in (x, [size])])
     counts = _sums(table, size + 1, end)
@@ -209,7 +222,7 @@ def fit(table: DataFrame, size: int, thin: int = 72, rounds: int = 2) -> Model:
     return model
 
 
-def scores(docs: DataFrame, ranks: str, *, thin: int = 72, rounds: int = 2, hot_words: int = 250_000, **columns) -> DataFrame:
+def scores(docs: DataFrame, ranks: str, *, thin: int = 1, rounds: int = 2, hot_words: int = 250_000, **columns) -> DataFrame:
     """Per document: held_out, n_tokens, n_known, train_tokens, base_score and score (base-10 logarithms)."""
     spark = docs.sparkSession
     table = stored(encoded(docs, ranks, **columns), "lm-encoded")
