@@ -277,3 +277,18 @@ def test_every_training_window_gives_gradients(spark):
     lengths = [len(r.ids) // 2 + 1 for r in table.filter("NOT held_out").collect()]
     model = lm_scoring.fit(table, len(lm_scoring._ranks(path)))  # with the parameters of the registered query
     assert model.windows == 2 * [sum(-(-n // attention_lm.STEP) for n in lengths)]
+
+
+def test_every_position_sees_half_a_window():
+    n = 64
+    assert attention_lm.WINDOW - attention_lm.STEP >= attention_lm.WINDOW // 2 >= 32
+    p = {k: x.astype(np.float64) for k, x in attention_lm.fresh(n).items()}
+    p["o"] += 0.5 * np.random.default_rng(1).normal(size=p["o"].shape)
+    first, second = attention_lm.bigrams(np.ones((n, n)))
+    row = np.random.default_rng(2).integers(0, n, 200)
+    scores = lambda r: attention_lm.class_scores(p, first, second, [r[:-1]], [r[1:]])
+    base = scores(row)
+    for at in range(32, 190):
+        far = row.copy()
+        far[at - 31] = (far[at - 31] + 1) % n  # the earliest of the 32 inputs that end at ``at``
+        assert scores(far)[at] != base[at]

@@ -12,9 +12,10 @@ from __future__ import annotations
 
 import numpy as np
 
-WINDOW, STEP, WIDTH, GROUP = 16, 12, 16, 32
+#: Every scored position sees at least WINDOW - STEP tokens before it, half a window.
+WINDOW, STEP, WIDTH, GROUP = 64, 32, 16, 32
 #: Windows whose arrays fit a core's cache, and windows held for the second step.
-BATCH, HELD = 128, 4096
+BATCH, HELD = 48, 1536
 
 
 def segments(sequences: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,7 +158,7 @@ def gradients(p: dict, first: np.ndarray, second: np.ndarray, context: np.ndarra
     return g, loss
 
 
-def train(p: dict, first: np.ndarray, second: np.ndarray, context: np.ndarray, target: np.ndarray, seen: dict | None = None, rate: float = 0.1, batch: int = 128) -> tuple[dict, dict]:
+def train(p: dict, first: np.ndarray, second: np.ndarray, context: np.ndarray, target: np.ndarray, seen: dict | None = None, rate: float = 0.1, batch: int = BATCH) -> tuple[dict, dict]:
     """One pass of AdaGrad over windows in the given order; ``seen``: the squares summed so far."""
     p = {n: x.copy() for n, x in p.items()}
     seen = seen or {n: np.full_like(x, 1e-6) for n, x in p.items()}
