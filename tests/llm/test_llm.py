@@ -292,3 +292,33 @@ def test_every_position_sees_half_a_window():
         far = row.copy()
         far[at - 31] = (far[at - 31] + 1) % n  # the earliest of the 32 inputs that end at ``at``
         assert scores(far)[at] != base[at]
+
+
+def test_near_copies_equal_brute_force(spark):
+    from corpus_pipeline import deduplicate
+    from voxstrata.llm import near_copies
+
+    rnd = random.Random(7)
+    word = lambda: f"w{rnd.randrange(5000)}"
+    texts = []
+    for _ in range(25):
+        base = [word() for _ in range(200)]
+        texts.append(base)
+        for edits in (1, 2, 3, 4, 5, 6):  # similarities from 0.95 down to about 0.7
+            copy = base.copy()
+            for at in rnd.sample(range(200), edits):
+                copy[at] = word()
+            texts.append(copy)
+    texts = [" ".join(t) for t in texts]
+    sets = [set(near_copies.shingles(t).tolist()) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for rows in (1024, 4):
+        got = {r.doc_id: r.component_id for r in near_copies.near_copies(df, tile_rows=rows).collect()}
+        assert [got[i] for i in range(len(texts))] == root
+    assert sorted(r.doc_id for r in deduplicate(spark, df, "").collect()) == sorted(set(root))
