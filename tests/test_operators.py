@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voxstrata.operators import coloring, grid, instances, mesh, nearest, octree, ownership, product, reconcile, voxel
+from voxstrata.operators import coloring, components, grid, instances, mesh, nearest, octree, ownership, product, reconcile, voxel
 
 POINT = "tile long, pid long, X long, Y long, Z long, inst long, sem long"
 
@@ -136,3 +136,12 @@ def test_clipping_keeps_area(spark):
 def test_lab_round_trip():
     for c in ("#ff8800", "#123456", "#fff"):
         assert coloring.to_hex(coloring.from_lab(coloring.lab(coloring.rgb(c)))) == coloring.to_hex(coloring.rgb(c))
+
+
+def test_components_of_long_chains_are_whole(spark):
+    # a column of 100 tiles whose last one alone touches the column before it: the least node is far from the next least
+    chain = [(99, 199), *((i, i - 1) for i in range(199, 100, -1)), (300, 300)]
+    got = {r.node: r.component for r in reconcile._component_labels(spark.createDataFrame(chain, "u long, v long")).collect()}
+    assert got == {99: 99, 300: 300} | {i: 99 for i in range(100, 200)}
+    with pytest.raises(RuntimeError):
+        components.components(spark.createDataFrame(chain, "u long, v long"), lambda x: x.persist(), rounds=2)

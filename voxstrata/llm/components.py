@@ -3,36 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from .common import stored
-
-
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
 
+from voxstrata.operators import components as shared
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked to the node's smallest neighbour instead."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Every smaller neighbour of a node, and the node, are linked to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.withColumnRenamed("m", "v")).distinct()
+from .common import stored
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (u, v) of longs; root is the least node reachable. No edges: no rows."""
-    edges = stored(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    mark = _mark(edges)
-    while mark[0]:
-        edges = stored(_small_star(_large_star(edges)), "edges")
-        before, mark = mark, _mark(edges)
-        if mark == before:
-            break
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+    return shared.components(edges, lambda x: stored(x, "edges"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxstrata.operators import nearest
+from voxstrata.operators.components import components
 from voxstrata.operators.lineage import cut
 
 PAIR = ("tile", "a", "other", "b")
@@ -76,22 +77,11 @@ def ordered_edges(edges: DataFrame, normal: Column | None = None) -> DataFrame:
     return edges.withColumn("place", F.row_number().over(Window.orderBy(*order)))
 
 
-def _component_labels(links: DataFrame, rounds: int = 64) -> DataFrame:
-    """(node, component) of undirected links (u, v) by spreading the least node; each round is cut off by a checkpoint."""
-    both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
-    both = cut(both)
-    labels = both.select(F.col("u").alias("node")).distinct().withColumn("component", F.col("node"))
-    for _ in range(rounds):
-        spread = both.join(labels.select(F.col("node").alias("v"), "component"), "v").groupBy(F.col("u").alias("node")).agg(F.min("component").alias("c"))
-        new = labels.join(spread, "node").select("node", F.least("component", "c").alias("at"))
-        up = new.select(F.col("node").alias("at"), F.col("at").alias("component"))
-        new = new.join(up, "at").select("node", "component")
-        new = cut(new)
-        changed = new.join(labels.withColumnRenamed("component", "old"), "node").filter("component != old").limit(1).count()
-        labels = new
-        if not changed:
-            break
-    return labels
+def _component_labels(links: DataFrame) -> DataFrame:
+    """(node, component) of undirected links (u, v), which may link a node to itself; component is the least node reachable."""
+    links = cut(links.select("u", "v").distinct())
+    nodes = links.select(F.col("u").alias("node")).unionByName(links.select(F.col("v").alias("node"))).distinct()
+    return nodes.join(components(links, cut), "node", "left").select("node", F.coalesce("root", "node").alias("component"))
 
 
 def _union(edges: pd.DataFrame, centroids: dict, overlaps: set, most: float) -> dict:
