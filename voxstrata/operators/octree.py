@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxstrata.functions.lattice import floor_div
+from voxstrata.functions.lattice import exact_div, floor_div
 from voxstrata.operators.lineage import cut
 
 NODE = ("nx", "ny", "nz")
@@ -15,6 +15,7 @@ def lod_levels(points: DataFrame, origin: tuple[int, int, int], size: int, *, gr
     """Each point's level and node: from the root down, a node with at most ``leaf`` points keeps them all, a fuller one
     keeps the point of least priority in each of its ``grid`` ** 3 voxels and passes the others on.
 
+    Points beyond the cube belong to the nodes at its border, in voxels counted on from there (toward zero below it).
     ``size * 2 ** -depth`` should be a lattice unit or more. Every level is one pass over what remains, cut off by a
     checkpoint; a few levels hold nearly all points.
     """
@@ -22,10 +23,10 @@ def lod_levels(points: DataFrame, origin: tuple[int, int, int], size: int, *, gr
     done = None
     for level in range(depth + 1):
         cells = 1 << level
-        rest = rest.withColumns({n: floor_div(F.col(f"_{a}") * cells, size) for n, a in zip(NODE, "XYZ", strict=True)})
+        rest = rest.withColumns({n: F.least(F.greatest(floor_div(F.col(f"_{a}") * cells, size), F.lit(0).cast("long")), F.lit(cells - 1).cast("long")) for n, a in zip(NODE, "XYZ", strict=True)})
         if level < depth:
             node = Window.partitionBy(*NODE)
-            voxel = Window.partitionBy(*NODE, *(floor_div(F.col(f"_{a}") * (cells * grid), size) for a in "XYZ")).orderBy(priority)
+            voxel = Window.partitionBy(*NODE, *(exact_div(F.col(f"_{a}") * (cells * grid), F.lit(size)) for a in "XYZ")).orderBy(priority)
             rest = rest.withColumn("_full", F.count("*").over(node) > leaf).withColumn("_take", ~F.col("_full") | (F.row_number().over(voxel) == 1))
         else:
             rest = rest.withColumn("_take", F.lit(True))
