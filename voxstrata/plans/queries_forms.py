@@ -278,7 +278,8 @@ def tile_label(spark, d):
 
 @query("tile_key_regex", "SELECT s_suppkey AS id, 'c' || lpad(CAST(s_suppkey // 7 AS VARCHAR), 2, '0') || '_r' || lpad(CAST(s_suppkey % 7 AS VARCHAR), 2, '0') AS key FROM supplier")
 def tile_key_regex(spark, d):
-    name = F.concat(F.lit("Model_X_"), F.upper(names.tile_label(F.expr("s_suppkey DIV 7"), F.col("s_suppkey") % 7)), F.lit("_trees.TXT"))
+    two = lambda c: F.lpad(F.expr(c).cast("string"), 2, "0")  # noqa: E731  # these names have fields of two places
+    name = F.concat(F.lit("Model_X_C"), two("s_suppkey DIV 7"), F.lit("_R"), two("s_suppkey % 7"), F.lit("_trees.TXT"))
     return table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), names.tile_key(name).alias("key"))
 
 
