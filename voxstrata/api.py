@@ -41,7 +41,7 @@ class PointFrame:
     def tile(self, length: str, buffer: str, resolutions: list[str]) -> DataFrame:
         """Buffered tiles, occupied cores, and a mean per voxel and resolution ('0': the points)."""
         size, around = self.lattice.units(length), self.lattice.units(buffer)
-        return voxel.tile_product(self.df, grid.tile_grid(self.df, size, around), size, around, [self.lattice.units(r) for r in resolutions])
+        return voxel.tile_product(self.df, grid.frame(self.df, size, around), size, around, [self.lattice.units(r) for r in resolutions])
 
     def assign(self, length: str, buffer: str) -> PointFrame:
         return self._with(grid.assign_buffered(self.df, self.layout(length, buffer), self.lattice.units(length), self.lattice.units(buffer)))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxstrata.functions.lattice import floor_div, half_even
+from voxstrata.functions.lattice import exact_div, floor_div, half_even
 
 KEY = ("kx", "ky", "kz")
 
@@ -58,9 +58,26 @@ def product_picks(points: DataFrame, resolution: int, gps: str) -> DataFrame:
 
 
 def tile_product(points: DataFrame, tiles: DataFrame, length: int, buffer: int, resolutions: list[int]) -> DataFrame:
-    """The tiling product: occupied tiles' buffered points, reduced to every resolution."""
+    """The tiling product: occupied tiles' buffered points, reduced to every resolution.
+
+    One scan and one shuffle of partial sums: each voxel remembers if any of its points lies in its tile's core, and tiles
+    without such a voxel are left out afterwards, from the same shuffle.
+    """
     from voxstrata.operators import grid
 
-    kept = grid.core_occupancy(points, tiles, length).filter("kept").select("tile")
-    routed = grid.assign_buffered(points.select("X", "Y", "Z"), tiles, length, buffer).join(F.broadcast(kept), "tile", "left_semi")
-    return centers_multi(routed, resolutions, ("tile",))
+    if not isinstance(tiles, grid.Frame):
+        kept = grid.core_occupancy(points, tiles, length).filter("kept").select("tile")
+        routed = grid.assign_buffered(points.select("X", "Y", "Z"), tiles, length, buffer)
+        return centers_multi(routed, resolutions, ("tile",)).join(kept, "tile", "left_semi")
+    col = exact_div(F.col("tile") - F.pmod("tile", F.lit(tiles.rows)), F.lit(tiles.rows))
+    x0, y0 = col * length + tiles.x, F.pmod("tile", F.lit(tiles.rows)) * length + tiles.y
+    core = (F.col("X") >= x0) & (F.col("X") <= x0 + length) & (F.col("Y") >= y0) & (F.col("Y") <= y0 + length)
+    routed = tiles.assign(points.select("X", "Y", "Z"), buffer).withColumn("core", core)
+    spread = routed.withColumn("res", F.explode(F.array(*(F.lit(r).cast("long") for r in resolutions if r > 0))))
+    sums = with_voxels(spread, F.col("res")).groupBy("tile", "res", *KEY).agg(F.count("*").alias("n"), *(F.sum(a).alias(f"s{a}") for a in "XYZ"), F.max("core").alias("core"))
+    kept = (sums if any(resolutions) else routed).filter("core").select("tile").distinct()
+    out = sums.select("tile", "res", *KEY, "n", *(half_even(f"s{a}", "n").alias(a) for a in "XYZ"))
+    if 0 in resolutions:
+        null = F.lit(None).cast("long")
+        out = out.unionByName(routed.select("tile", F.lit(0).cast("long").alias("res"), *(null.alias(k) for k in KEY), F.lit(1).cast("long").alias("n"), "X", "Y", "Z"))
+    return out.join(kept, "tile", "left_semi")
