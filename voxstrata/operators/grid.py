@@ -1,18 +1,19 @@
 """Tile grids: layouts, neighbours, overlaps, and which tile a point belongs to.
 
-A layout is a small table: tile, col, row, and the core and buffered rectangles in lattice units. It has at most
-``MOST_TILES`` rows, so it may be broadcast; points reach their tiles by arithmetic candidates and an equi-join.
+A layout is a table: tile, col, row, and the core and buffered rectangles in lattice units. A regular one is a ``Frame``,
+a few numbers, from which points find their tiles by arithmetic, without a join. Other layouts (with holes) join by
+column and row; their size is known to the optimizer, which broadcasts small ones only, so no number of tiles is too many.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxstrata.functions.lattice import floor_div, rect_distance2
-
-MOST_TILES = 1_000_000
-LAYOUT = "tile long, col long, row long, x0 long, x1 long, y0 long, y1 long, bx0 long, bx1 long, by0 long, by1 long"
+from voxstrata.functions.lattice import exact_div, floor_div, rect_distance2
+from voxstrata.operators.lineage import cut
 
 
 def extent(points: DataFrame) -> DataFrame:
@@ -25,18 +26,49 @@ def headers(points: DataFrame) -> DataFrame:
     return points.groupBy("file").agg(*(f(c).alias(f"{n}_{c.lower()}") for c in ("X", "Y", "Z") for f, n in ((F.min, "min"), (F.max, "max"))), F.count("*").alias("n"))
 
 
+@dataclass(frozen=True)
+class Frame:
+    """A regular layout: its origin, tiles by axis, tile length and buffer, in lattice units. Tiles are numbered column by column."""
+
+    x: int
+    y: int
+    cols: int
+    rows: int
+    length: int
+    buffer: int
+
+    def tiles(self, spark: SparkSession) -> DataFrame:
+        """One row a tile, made where it is used."""
+        n, length, buffer = self.cols * self.rows, self.length, self.buffer
+        numbered = spark.range(n).select(F.col("id").alias("tile"), exact_div(F.col("id") - F.pmod("id", F.lit(max(1, self.rows))), F.lit(max(1, self.rows))).alias("col"), F.pmod("id", F.lit(max(1, self.rows))).cast("long").alias("row"))
+        x0, y0 = F.col("col") * length + self.x, F.col("row") * length + self.y
+        return numbered.select(
+            "tile", "col", "row", x0.alias("x0"), (x0 + length).alias("x1"), y0.alias("y0"), (y0 + length).alias("y1"),
+            (x0 - buffer).alias("bx0"), (x0 + length + buffer).alias("bx1"), (y0 - buffer).alias("by0"), (y0 + length + buffer).alias("by1"),
+        )
+
+    def assign(self, points: DataFrame, reach: int) -> DataFrame:
+        """Each point once for every tile whose closed core, grown by ``reach``, holds it; ``tile`` comes first."""
+        for name, axis, origin, count in (("_c", "X", self.x, self.cols), ("_r", "Y", self.y, self.rows)):
+            first = F.greatest(floor_div(F.col(axis) - (origin + reach + 1), self.length), F.lit(0).cast("long"))
+            last = F.least(floor_div(F.col(axis) - (origin - reach), self.length), F.lit(count - 1).cast("long"))
+            points = points.withColumns({"_a": first, "_b": last}).filter("_a <= _b").withColumn(name, F.explode(F.sequence("_a", "_b"))).drop("_a", "_b")
+        names = [c for c in points.columns if c not in ("_c", "_r")]
+        return points.select((F.col("_c") * self.rows + F.col("_r")).alias("tile"), *names)
+
+
+def frame(points: DataFrame, length: int, buffer: int) -> Frame:
+    """The layout over the points' extent (one row to the driver): as many tiles an axis as cover it, one at least; none for no points."""
+    e = points.agg(*(f(c).alias(f"{n}_{c.lower()}") for c in ("X", "Y") for f, n in ((F.min, "min"), (F.max, "max")))).first()
+    if e.min_x is None or e.min_y is None:
+        return Frame(0, 0, 0, 0, length, buffer)
+    count = lambda lo, hi: max(1, -((lo - hi) // length))
+    return Frame(e.min_x, e.min_y, count(e.min_x, e.max_x), count(e.min_y, e.max_y), length, buffer)
+
+
 def tile_grid(points: DataFrame, length: int, buffer: int) -> DataFrame:
-    """The layout over the points' extent: as many tiles an axis as cover it, one at least; numbered column by column."""
-    e = extent(points)
-    count = lambda a: F.greatest(F.lit(1), floor_div(F.col(f"max_{a}") - F.col(f"min_{a}") + length - 1, length))
-    tiles = e.filter("n > 0").select("*", F.explode(F.sequence(F.lit(0).cast("long"), count("x") - 1)).alias("col"), count("y").alias("rows"), count("x").alias("cols"))
-    tiles = tiles.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("row"))
-    checked = F.when(F.col("rows") * F.col("cols") <= MOST_TILES, F.col("col") * F.col("rows") + F.col("row")).otherwise(F.raise_error(F.lit("too many tiles")).cast("long"))
-    x0, y0 = F.col("min_x") + F.col("col") * length, F.col("min_y") + F.col("row") * length
-    return tiles.select(
-        checked.alias("tile"), "col", "row", x0.alias("x0"), (x0 + length).alias("x1"), y0.alias("y0"), (y0 + length).alias("y1"),
-        (x0 - buffer).alias("bx0"), (x0 + length + buffer).alias("bx1"), (y0 - buffer).alias("by0"), (y0 + length + buffer).alias("by1"),
-    )
+    """The rows of ``frame``."""
+    return frame(points, length, buffer).tiles(points.sparkSession)
 
 
 def neighbors(tiles: DataFrame) -> DataFrame:
@@ -62,11 +94,19 @@ def nearest_neighbors(tiles: DataFrame) -> DataFrame:
 
 
 def overlaps(tiles: DataFrame) -> DataFrame:
-    """(later, earlier, rectangle) for buffered rectangles that share an area; a layout against itself."""
-    a, b = tiles.alias("a"), tiles.alias("b")
+    """(later, earlier, rectangle) for buffered rectangles of a grid's tiles that share an area.
+
+    A tile meets those at most ``ceil(buffered length / length) - 1`` columns and rows away, by an equi-join.
+    """
+    reach = lambda x: F.ceil((F.col(f"b{x}1") - F.col(f"b{x}0")) / (F.col(f"{x}1") - F.col(f"{x}0"))).cast("long") - 1
+    a = tiles
+    for name, x in (("col", "x"), ("row", "y")):
+        a = a.withColumn("_step", F.explode(F.sequence(-reach(x), reach(x)))).withColumn(f"_{name}", F.col(name) + F.col("_step")).drop("_step")
+    a, b = a.alias("a"), tiles.alias("b")
     lo = {x: F.greatest(f"a.b{x}0", f"b.b{x}0") for x in "xy"}
     hi = {x: F.least(f"a.b{x}1", f"b.b{x}1") for x in "xy"}
-    pairs = a.join(b, (F.col("b.tile") < F.col("a.tile")) & (hi["x"] > lo["x"]) & (hi["y"] > lo["y"]))
+    near = (F.col("a._col") == F.col("b.col")) & (F.col("a._row") == F.col("b.row"))
+    pairs = a.join(b, near & (F.col("b.tile") < F.col("a.tile")) & (hi["x"] > lo["x"]) & (hi["y"] > lo["y"]))
     return pairs.select(F.col("a.tile").alias("later"), F.col("b.tile").alias("earlier"), lo["x"].alias("ox0"), hi["x"].alias("ox1"), lo["y"].alias("oy0"), hi["y"].alias("oy1"))
 
 
@@ -84,22 +124,27 @@ def _candidates(points: DataFrame, tiles: DataFrame, length: int, reach: int) ->
     return near.withColumn("row", F.explode(axis("Y", "_oy"))).drop("_ox", "_oy")
 
 
-def assign_buffered(points: DataFrame, tiles: DataFrame, length: int, buffer: int) -> DataFrame:
+def assign_buffered(points: DataFrame, tiles: DataFrame | Frame, length: int, buffer: int) -> DataFrame:
     """Each point once for every tile whose closed buffered rectangle holds it."""
-    joined = _candidates(points, tiles, length, buffer).join(F.broadcast(tiles), ["col", "row"])
+    if isinstance(tiles, Frame):
+        return tiles.assign(points, buffer)
+    joined = _candidates(points, tiles, length, buffer).join(tiles, ["col", "row"])
     return joined.filter(in_rect(F.col("X"), F.col("Y"), "bx0", "bx1", "by0", "by1")).select("tile", *points.columns)
 
 
-def in_cores(points: DataFrame, tiles: DataFrame, length: int) -> DataFrame:
+def in_cores(points: DataFrame, tiles: DataFrame | Frame, length: int) -> DataFrame:
     """Each point once for every tile whose closed core holds it (two or four on shared borders)."""
-    joined = _candidates(points, tiles, length, 0).join(F.broadcast(tiles), ["col", "row"])
+    if isinstance(tiles, Frame):
+        return tiles.assign(points, 0)
+    joined = _candidates(points, tiles, length, 0).join(tiles, ["col", "row"])
     return joined.filter(in_rect(F.col("X"), F.col("Y"), "x0", "x1", "y0", "y1")).select("tile", *points.columns)
 
 
-def core_occupancy(points: DataFrame, tiles: DataFrame, length: int) -> DataFrame:
+def core_occupancy(points: DataFrame, tiles: DataFrame | Frame, length: int) -> DataFrame:
     """Points in each planned tile's core; tiles without any have 0 and aren't kept."""
     counts = in_cores(points, tiles, length).groupBy("tile").agg(F.count("*").alias("n"))
-    out = tiles.select("tile").join(counts, "tile", "left").select("tile", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    planned = tiles.tiles(points.sparkSession) if isinstance(tiles, Frame) else tiles
+    out = planned.select("tile").join(counts, "tile", "left").select("tile", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
     return out.withColumn("kept", F.col("n") > 0)
 
 
@@ -109,20 +154,45 @@ def uncovered(points: DataFrame, tiles: DataFrame, length: int) -> DataFrame:
 
 
 def owner_core(points: DataFrame, tiles: DataFrame) -> DataFrame:
-    """Per point the first closed core in tile order that holds it, else the nearest core (then the first).
+    """Per point (pid) the first closed core in tile order that holds it, else the nearest core (then the first).
 
-    Points far outside may be near any core, so they meet the whole layout, which is broadcast: one row a tile.
+    Points in a core find it by their cell. The others look into rings of cells around their own, twice as wide each
+    round, and stop as soon as no core outside of the ring can be as near; a ring never leaves the layout's range.
     """
+    wide, tall = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
+    f = tiles.agg(
+        F.max(wide).alias("w"), F.max(tall).alias("h"), F.min(F.col("x0") - F.col("col") * wide).alias("x"), F.min(F.col("y0") - F.col("row") * tall).alias("y"),
+        F.min("col").alias("c0"), F.max("col").alias("c1"), F.min("row").alias("r0"), F.max("row").alias("r1"),
+    ).first()
+    if f.w is None:
+        return points.select("pid", F.lit(None).cast("long").alias("owner"), F.lit(None).cast("long").alias("d2")).limit(0)
     d = rect_distance2(F.col("X"), F.col("Y"), F.col("x0"), F.col("x1"), F.col("y0"), F.col("y1"))
-    near = points.select("pid", "X", "Y").join(F.broadcast(tiles), F.lit(True))
-    best = near.groupBy("pid").agg(F.min(F.struct(d.alias("d2"), F.col("tile"))).alias("best"))
-    return best.select("pid", F.col("best.tile").alias("owner"), F.col("best.d2").alias("d2"))
+    rest, done, ring = points.select("pid", "X", "Y"), None, 0
+    own_c, own_r = floor_div(F.col("X") - f.x, f.w), floor_div(F.col("Y") - f.y, f.h)
+    low = lambda at, back, least: F.greatest(at - back, F.lit(least))
+    high = lambda at, on, most: F.least(at + on, F.lit(most))
+    while True:
+        # a core that ends where the point lies is the one before: it holds the point as well
+        back = 1 if ring == 0 else ring
+        cells = rest.withColumns({"_a": low(own_c, back, f.c0), "_b": high(own_c, ring, f.c1), "_d": low(own_r, back, f.r0), "_e": high(own_r, ring, f.r1)})
+        cells = cells.filter("_a <= _b AND _d <= _e").withColumn("col", F.explode(F.sequence("_a", "_b"))).withColumn("row", F.explode(F.sequence("_d", "_e")))
+        near = cells.join(tiles.select("tile", "col", "row", "x0", "x1", "y0", "y1"), ["col", "row"])
+        best = near.groupBy("pid").agg(F.min(F.struct(d.alias("d2"), F.col("tile"))).alias("best"))
+        sure = F.col("best.d2") < (ring * min(f.w, f.h)) ** 2 if ring else F.col("best.d2") == 0
+        whole = (own_c - ring <= f.c0) & (own_c + ring >= f.c1) & (own_r - ring <= f.r0) & (own_r + ring >= f.r1)
+        seen = cut(rest.join(best, "pid", "left").withColumn("_sure", F.coalesce(sure | whole, F.lit(False))))
+        found = seen.filter("_sure").select("pid", F.col("best.tile").alias("owner"), F.col("best.d2").alias("d2"))
+        done = found if done is None else done.unionByName(found)
+        rest = seen.filter("NOT _sure").select("pid", "X", "Y")
+        if rest.isEmpty():
+            return done
+        ring = max(1, 2 * ring)
 
 
 def owned_background(assigned: DataFrame, tiles: DataFrame, linked: DataFrame) -> DataFrame:
     """Background points kept by a tile: half-open cores, the east or north tile owns a shared border; outer sides are open ended."""
     t = tiles.join(linked, "tile")
-    joined = assigned.join(F.broadcast(t), "tile")
+    joined = assigned.join(t, "tile")
     inside = (
         (F.col("west").isNull() | (F.col("X") >= F.col("x0"))) & (F.col("east").isNull() | (F.col("X") < F.col("x1")))
         & (F.col("south").isNull() | (F.col("Y") >= F.col("y0"))) & (F.col("north").isNull() | (F.col("Y") < F.col("y1")))
@@ -132,7 +202,7 @@ def owned_background(assigned: DataFrame, tiles: DataFrame, linked: DataFrame) -
 
 def owned_anchors(anchors: DataFrame, tiles: DataFrame, linked: DataFrame, x: str = "ax", y: str = "ay") -> DataFrame:
     """Anchors that a tile owns: its closed core, clipped only where it has a neighbour."""
-    joined = anchors.join(F.broadcast(tiles.join(linked, "tile")), "tile")
+    joined = anchors.join(tiles.join(linked, "tile"), "tile")
     inside = (
         (F.col("west").isNull() | (F.col(x) >= F.col("x0"))) & (F.col("east").isNull() | (F.col(x) <= F.col("x1")))
         & (F.col("south").isNull() | (F.col(y) >= F.col("y0"))) & (F.col("north").isNull() | (F.col(y) <= F.col("y1")))

@@ -103,7 +103,7 @@ def owner_plan(points: DataFrame, tiles: DataFrame) -> DataFrame:
     per = tile_counts(points)
     w = Window.partitionBy("inst")
     held = per.withColumn("N", F.sum("n").over(w)).withColumn("SX", F.sum("sx").over(w)).withColumn("SY", F.sum("sy").over(w)).withColumn("parts", F.count("*").over(w)).filter("parts > 1")
-    joined = held.join(F.broadcast(tiles.select("tile", "x0", "x1", "y0", "y1")), "tile")
+    joined = held.join(tiles.select("tile", "x0", "x1", "y0", "y1"), "tile")
     inside = (F.col("SX") >= F.col("x0") * F.col("N")) & (F.col("SX") <= F.col("x1") * F.col("N")) & (F.col("SY") >= F.col("y0") * F.col("N")) & (F.col("SY") <= F.col("y1") * F.col("N"))
     best = joined.groupBy("inst").agg(F.min(F.when(inside, F.col("tile"))).alias("core"), F.min_by("tile", F.struct((-F.col("n")).alias("n"), F.col("tile"))).alias("most"), F.max("parts").alias("parts"))
     return best.select("inst", F.coalesce("core", "most").alias("owner"), "parts")

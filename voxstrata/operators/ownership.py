@@ -23,7 +23,7 @@ def core_filter(points: DataFrame, tiles: DataFrame, linked: DataFrame, anchor:
 
 
 def _core(tiles: DataFrame, prefix: str) -> DataFrame:
-    return F.broadcast(tiles.select(F.col("tile").alias(f"{prefix}_tile"), *(F.col(c).alias(f"{prefix}_{c}") for c in ("x0", "x1", "y0", "y1"))))
+    return tiles.select(F.col("tile").alias(f"{prefix}_tile"), *(F.col(c).alias(f"{prefix}_{c}") for c in ("x0", "x1", "y0", "y1")))
 
 
 def _distance(point: str, core: str) -> Column:
@@ -94,7 +94,7 @@ def deduplicate(points: DataFrame, overlapping: DataFrame, limit2: int) -> DataF
     if not level:
         return points
     levels = spark.createDataFrame(sorted(level.items()), "tile long, level int")
-    rows = cut(points.join(F.broadcast(levels), "tile", "left").fillna(0, ["level"]))
+    rows = cut(points.join(levels, "tile", "left").fillna(0, ["level"]))
     done = rows.filter("level = 0").drop("level")
     for k in range(1, max(level.values()) + 1):
         now = rows.filter(F.col("level") == k).drop("level")

@@ -61,7 +61,7 @@ def record_index(points: DataFrame, file: str = "file", order: str = "pid") -> D
     before = Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     offsets = counts.select(file, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     inside = F.row_number().over(Window.partitionBy(file).orderBy(order)) - 1
-    return points.withColumn("_i", inside).join(F.broadcast(offsets), file).withColumn("record", F.col("_offset") + F.col("_i")).drop("_i", "_offset")
+    return points.withColumn("_i", inside).join(offsets, file).withColumn("record", F.col("_offset") + F.col("_i")).drop("_i", "_offset")
 
 
 def union_common(frames: list[DataFrame], fill: Column | None = None) -> DataFrame:

@@ -23,7 +23,7 @@ def pair_counts(points: DataFrame, overlapping: DataFrame, limit2: int) -> DataF
     """(tile, a, other, b) -> n, agree: each later tile's tree point in an overlap counts its nearest tree point of each
     earlier tile there; ``agree`` counts equal semantics."""
     trees = points.filter("inst > 0").select("tile", "pid", "X", "Y", "Z", "inst", "sem")
-    o = F.broadcast(overlapping)  # a layout's overlaps: tiles, not points
+    o = overlapping
     box = lambda p: (F.col(f"{p}_X") >= F.col("ox0")) & (F.col(f"{p}_X") <= F.col("ox1")) & (F.col(f"{p}_Y") >= F.col("oy0")) & (F.col(f"{p}_Y") <= F.col("oy1"))
     found = nearest.pairs(trees, trees, limit2, where=F.col("b_tile") < F.col("q_tile"))
     found = found.join(o, (F.col("q_tile") == F.col("later")) & (F.col("b_tile") == F.col("earlier"))).filter(box("q") & box("b"))
@@ -37,7 +37,7 @@ def overlap_shapes(points: DataFrame, overlapping: DataFrame) -> DataFrame:
     both = overlapping.select(F.col("later").alias("tile"), F.col("earlier").alias("other"), "ox0", "ox1", "oy0", "oy1").unionByName(
         overlapping.select(F.col("earlier").alias("tile"), F.col("later").alias("other"), "ox0", "ox1", "oy0", "oy1")
     )
-    joined = points.filter("inst > 0").join(F.broadcast(both), "tile").filter("X >= ox0 AND X <= ox1 AND Y >= oy0 AND Y <= oy1")
+    joined = points.filter("inst > 0").join(both, "tile").filter("X >= ox0 AND X <= ox1 AND Y >= oy0 AND Y <= oy1")
     return joined.groupBy("tile", "other", "inst").agg(F.count("*").alias("n"), *(F.sum(a).alias(f"s{a.lower()}") for a in "XYZ"))
 
 

@@ -47,6 +47,10 @@ def _dealt(points: DataFrame) -> DataFrame:
     return points.repartition(cores) if points.rdd.getNumPartitions() < cores else points
 
 
+def frame(points: DataFrame, name: str) -> grid.Frame:
+    return grid.frame(points, *TILES[name])
+
+
 def layout(points: DataFrame, name: str) -> DataFrame:
     return grid.tile_grid(points, *TILES[name])
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from voxstrata.functions import lattice
 from voxstrata.operators import grid, nearest, voxel
 from voxstrata.plans.catalogue import query
-from voxstrata.plans.clouds import SQL, TILES, cloud, d2_sql, dense_sql, floor_sql, layout, rect_sql, tiles_sql
+from voxstrata.plans.clouds import SQL, TILES, cloud, d2_sql, dense_sql, floor_sql, frame, layout, rect_sql, tiles_sql
 
 E, V, L = SQL["E"], SQL["V"], SQL["L"]
 R2 = 10_000  # squared reach on E
@@ -62,13 +62,13 @@ def tile_overlaps(spark, d):
 @query("tile_assign_buffered", f"WITH {dense_sql('E')} SELECT tile, pid, X, Y, Z FROM A")
 def tile_assign_buffered(spark, d):
     p = cloud(spark, d, "E")
-    return grid.assign_buffered(p.select("pid", "X", "Y", "Z"), layout(p, "E"), *TILES["E"])
+    return grid.assign_buffered(p.select("pid", "X", "Y", "Z"), frame(p, "E"), *TILES["E"])
 
 
 @query("core_occupancy", f"WITH {tiles_sql('L')} SELECT T.tile, count(L.X) AS n, count(L.X) > 0 AS kept FROM T LEFT JOIN L ON X BETWEEN x0 AND x1 AND Y BETWEEN y0 AND y1 GROUP BY T.tile")
 def core_occupancy(spark, d):
     p = cloud(spark, d, "L")
-    return grid.core_occupancy(p.select("X", "Y"), layout(p, "L"), TILES["L"][0])
+    return grid.core_occupancy(p.select("X", "Y"), frame(p, "L"), TILES["L"][0])
 
 
 @query("uncovered_points", f"WITH {tiles_sql('E')} SELECT pid, X, Y FROM E WHERE NOT EXISTS (SELECT 1 FROM T WHERE tile % 3 != 0 AND X BETWEEN x0 AND x1 AND Y BETWEEN y0 AND y1)")
@@ -102,10 +102,10 @@ def background_half_open(spark, d):
 @query("inside_overlap", f"WITH {dense_sql('E')} SELECT pid, later, earlier FROM E JOIN O ON X BETWEEN ox0 AND ox1 AND Y BETWEEN oy0 AND oy1")
 def inside_overlap(spark, d):
     p = cloud(spark, d, "E")
-    o = grid.overlaps(layout(p, "E"))
     guard = lattice.ulp_guard(1 << 31)  # far below a lattice unit, so bounds in whole units hold the same points
     assert guard < 0.5
-    return p.join(F.broadcast(o), grid.in_rect(F.col("X"), F.col("Y"), "ox0", "ox1", "oy0", "oy1")).select("pid", "later", "earlier")
+    tiled = grid.assign_buffered(p.select("pid", "X", "Y"), frame(p, "E"), *TILES["E"]).withColumnRenamed("tile", "later")
+    return tiled.join(grid.overlaps(layout(p, "E")), "later").filter(grid.in_rect(F.col("X"), F.col("Y"), "ox0", "ox1", "oy0", "oy1")).select("pid", "later", "earlier")
 
 
 @query("core_union_mask", f"WITH {dense_sql('E')}, S AS (SELECT later AS tile, earlier AS other FROM O UNION SELECT earlier, later FROM O UNION SELECT tile, tile FROM T) SELECT DISTINCT A.tile, A.pid FROM A JOIN S USING (tile) JOIN T ON T.tile = S.other AND X BETWEEN x0 AND x1 AND Y BETWEEN y0 AND y1")
@@ -114,7 +114,7 @@ def core_union_mask(spark, d):
     t = layout(p, "E")
     o = grid.overlaps(t)
     near = o.select(F.col("later").alias("tile"), F.col("earlier").alias("other")).union(o.select("earlier", "later")).union(t.select("tile", "tile"))
-    cores = F.broadcast(near.join(t.select(F.col("tile").alias("other"), "x0", "x1", "y0", "y1"), "other").withColumnRenamed("tile", "_t"))
+    cores = near.join(t.select(F.col("tile").alias("other"), "x0", "x1", "y0", "y1"), "other").withColumnRenamed("tile", "_t")
     rows = grid.assign_buffered(p.select("pid", "X", "Y"), t, *TILES["E"])
     return rows.join(cores, (F.col("tile") == F.col("_t")) & grid.in_rect(F.col("X"), F.col("Y"), "x0", "x1", "y0", "y1"), "left_semi").select("tile", "pid")
 
@@ -149,7 +149,7 @@ def voxel_com_multires(spark, d):
 def tile_voxel_com(spark, d):
     """Flagship: buffered tiles, occupied cores, exact means at two resolutions from one scan."""
     p = cloud(spark, d, "L").select("X", "Y", "Z")
-    return voxel.tile_product(p, layout(p, "L"), *TILES["L"], [500, 2000])
+    return voxel.tile_product(p, frame(p, "L"), *TILES["L"], [500, 2000])
 
 
 @query("original_passthrough", f"WITH {E} SELECT CAST(0 AS BIGINT) AS res, CAST(-99 AS BIGINT) AS kx, CAST(-99 AS BIGINT) AS ky, CAST(-99 AS BIGINT) AS kz, CAST(1 AS BIGINT) AS n, X, Y, Z FROM E UNION ALL {_multi('E', (100,), False)}")
@@ -245,7 +245,7 @@ def nearest_earlier_tile(spark, d):
 def nearest_in_overlap(spark, d):
     rows, t = _dense(spark, d)
     rows = rows.select("tile", "pid", "X", "Y", "Z")
-    o = F.broadcast(grid.overlaps(t))
+    o = grid.overlaps(t)
     found = nearest.pairs(rows, rows, 2500, where=F.col("b_tile") < F.col("q_tile")).join(o, (F.col("later") == F.col("q_tile")) & (F.col("earlier") == F.col("b_tile")))
     found = found.filter(grid.in_rect(F.col("q_X"), F.col("q_Y"), "ox0", "ox1", "oy0", "oy1") & grid.in_rect(F.col("b_X"), F.col("b_Y"), "ox0", "ox1", "oy0", "oy1"))
     best = found.groupBy(F.col("q_tile").alias("tile"), F.col("q_pid").alias("pid")).agg(F.min(F.struct("d2", "b_tile", "b_pid")).alias("m"))
