@@ -42,9 +42,11 @@ def none(spark):
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_cached_ids_are_the_library_s(name):
     s = Subwords(vocabulary_path(name), limit=50)
-    parts, rnd = [" ", "  ", "\n", "a", "Bé,", "'s", "<|endoftext|>", "\x1c", "́", "12", "!!", "\t", "\x85", " ", "word.", "ß;"], random.Random(1)
-    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 14))) for _ in range(3000)]
-    assert s.encode(texts) == [s._whole(x) for x in texts]
+    parts, rnd = [" ", "  ", "\n", "a", "Bé,", "'s", "<|endoftext|>", "\x1c", "\u0301", "12", "!!", "\t", "\x85", "\xa0", "word.", "ß;", "İ.", "'", "×", "÷", "?'s", "\r\n", "1a", "<", "\u0338", "你", " \n", "K", "Σ"], random.Random(1)
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 14))) for _ in range(6000)]
+    texts += ["".join(rnd.choice([chr(rnd.randint(0xC0, 0x17F)), *" .'\n1a"]) for _ in range(10)) for _ in range(2000)]
+    for got, text in zip(s.encode(texts), texts, strict=True):
+        assert np.array_equal(got, s.whole(text)), repr(text)
 
 
 def test_token_files(docs, none):
@@ -52,16 +54,33 @@ def test_token_files(docs, none):
     s, at = Subwords(vocabulary_path("word_bpe_49k.json")), 0
     rows = sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0))
     for r, (key, text, *_) in zip(sorted(got, key=lambda r: r.start), rows, strict=True):
-        ids = s._whole(text or "") + np.array([2], "<u4").tobytes()
-        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (key, at, len(ids) // 4, zlib.crc32(ids))
+        ids = np.append(s.whole(text or ""), 2).astype("<u4")
+        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (key, at, len(ids), zlib.crc32(ids.tobytes()))
         at += r.n_tokens
     assert token_files.token_files(none, vocabulary_path("word_bpe_49k.json")).count() == 0
 
 
+def test_wide_ids_refuse_narrow_files(docs, tmp_path, monkeypatch):
+    path = vocabulary_path("word_bpe_49k.json")
+    assert token_files.id_width(path, 2) == 2 and token_files.id_width(path, 1 << 16) == 4
+    monkeypatch.setattr(token_files, "id_width", lambda *_: 1)
+    with pytest.raises(Exception, match="doesn't fit"):
+        token_files.write_token_files(docs, f"file://{tmp_path}", path, 2)
+
+
 def test_packing(docs, none):
     path = vocabulary_path("byte_bpe_50k.json")
-    got = packing.pack_documents(docs, path, 64, group_pieces=50).collect()
-    assert sum(r.length for r in got) == sum(len(Subwords(path)._whole(r[1] or "")) // 4 + 1 for r in ROWS)
+    s = Subwords(path)
+    want = sorted((r[0] is None, r[0] or 0, np.append(s.whole(r[1] or ""), 2).astype("<u4").tobytes()) for r in ROWS)
+    got = packing.pack_documents(docs, path, 64, group_pieces=50, keep_ids=True).collect()
+    made = {}
+    for r in sorted(got, key=lambda r: r.piece):
+        assert r.ids_crc32 == zlib.crc32(r.ids) and 4 * r.length == len(r.ids) and r.length <= 64
+        if r.doc_id != 7:  # repeated rows can't be told apart
+            assert 4 * r.start == len(made.get(r.doc_id, b"")) and (r.piece == 0 or r.length == 64)
+            made[r.doc_id] = made.get(r.doc_id, b"") + r.ids
+    assert sorted((k is None, k or 0, v) for k, v in made.items()) == [x for x in want if x[1] != 7]
+    assert sum(r.length for r in got) == sum(len(x[2]) // 4 for x in want)
     for rows in {r.sequence_id: [x for x in got if x.sequence_id == r.sequence_id] for r in got}.values():
         at = 0
         for r in sorted(rows, key=lambda r: r.offset):
@@ -71,16 +90,48 @@ def test_packing(docs, none):
     assert packing.pack_documents(none, path, 64).count() == 0
 
 
+def least_bins(sizes, capacity):
+    """By trying all: pieces in falling order into every different bin."""
+    sizes, best = sorted(sizes, reverse=True), len(sizes)
+
+    def put(i, fills):
+        nonlocal best
+        if len(fills) >= best:
+            return
+        if i == len(sizes):
+            best = len(fills)
+            return
+        for x in {f for f in fills if f + sizes[i] <= capacity}:
+            rest = list(fills)
+            rest.remove(x)
+            put(i + 1, [*rest, x + sizes[i]])
+        put(i + 1, [*fills, sizes[i]])
+
+    put(0, [])
+    return best
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_search_is_near_the_optimum(seed):
+    rnd = np.random.default_rng(seed)
+    lengths = rnd.integers(1, 20, rnd.integers(1, 11))
+    end = packing.exchange(lengths, np.arange(len(lengths)), 20)
+    fill = np.bincount(end, lengths)
+    assert fill.max() <= 20 and (fill > 0).sum() <= least_bins(lengths.tolist(), 20)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_exchanges_raise_squared_fill(seed):
     rnd = np.random.default_rng(seed)
-    lengths = rnd.integers(1, 100, 200)
-    start = np.arange(200) // 2  # a poor packing: two to a bin where they fit
-    start = np.where(np.bincount(start, lengths)[start] > 100, 200 + np.arange(200), start)
-    end = packing.exchange(lengths, start, 100, patience=200)
+    lengths = rnd.integers(1, 100, 2000)
+    start = np.arange(2000) // 2  # a poor packing: two to a bin where they fit
+    start = np.where(np.bincount(start, lengths)[start] > 100, 2000 + np.arange(2000), start)
+    end = packing.exchange(lengths, start, 100)
     fill = lambda b: np.bincount(b, lengths)
     assert fill(end).max() <= 100 and (fill(end) ** 2).sum() >= (fill(start) ** 2).sum()
     assert (fill(end) > 0).sum() < (fill(start) > 0).sum()
+    alone = fill(packing.exchange(lengths, np.arange(2000), 100))
+    assert (alone > 0).sum() <= 1.02 * math.ceil(lengths.sum() / 100) + 1
 
 
 def test_simhash_groups(docs, none):

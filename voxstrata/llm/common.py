@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,6 +88,18 @@ def map_lists(df: DataFrame, schema: str | T.StructType, make: Callable[[], Call
     return df.mapInArrow(run, schema)
 
 
+def text_batches(batches: Iterator[pa.RecordBatch], text: int = 1, most: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of text, unless a single text is longer."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
     """The two columns alone, under fixed names: whatever else the table holds can't clash. Null text counts as empty."""
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *more)

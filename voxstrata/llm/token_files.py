@@ -7,16 +7,17 @@ The documents are range-partitioned and sorted by id. Each task writes one pair
 * ``part-P-A.off``: per document three 64-bit integers: its id, 1 if that id isn't null, and where its ids end.
 
 ``A`` is the task attempt, so an attempt that was lost leaves nothing that is read. One manifest row per partition goes
-to the driver; the partitions' bases are the prefix sums of their id counts. Reading maps one pair of files at a time.
+to the driver; the partitions' bases are the prefix sums of their id counts. Reading maps one pair of files at a time;
+in a store without maps it reads one document's range at a time.
 
 Defined results: a null text counts as empty (its end id alone is written); documents of equal id stand in the order of
-their texts' hashes; an id that is null sorts first; an empty table gives no files and no rows; other columns are ignored.
+their texts' hashes; an id that is null sorts first; an empty table gives no files and no rows; other columns are ignored;
+a text is written whole, whatever its length; an id of more than the file's width is an error, never wrapped.
 Rows of one id all go to one partition, in bounded batches.
 """
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
 from itertools import accumulate
@@ -27,7 +28,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_and_text, new_path, slices
+from .common import id_and_text, new_path, text_batches
 from .subwords import subwords
 
 MANIFEST = "part int, name string, n_docs long, n_ids long"
@@ -40,9 +41,14 @@ def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int, *, id_col: str = "doc_id", text_col: str = "text", width: int = 2) -> list[dict]:
-    """Write the files; returns the manifest in document order, each row with its ``base``. ``width``: bytes of an id."""
-    kind = {2: "<u2", 4: "<u4"}[width]
+def id_width(tokenizer: str, end_id: int) -> int:
+    """Bytes of an id: two where all ids of the vocabulary and the end fit, else four."""
+    return 2 if max(subwords(tokenizer).largest, end_id) < 1 << 16 else 4
+
+
+def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int, *, id_col: str = "doc_id", text_col: str = "text") -> tuple[list[dict], int]:
+    """Write the files; returns the manifest in document order, each row with its ``base``, and the bytes of an id."""
+    width = id_width(tokenizer, end_id)
     ordered = id_and_text(docs, id_col, text_col)
     ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
 
@@ -55,44 +61,56 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
         disk.create_dir(path, recursive=True)
         n_docs = at = 0
         with disk.open_output_stream(f"{path}/{name}.tok") as ids_file, disk.open_output_stream(f"{path}/{name}.off") as index:
-            for batch in batches:
-                keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                for a, b in slices(texts):
-                    made = [np.append(np.frombuffer(x, "<u4"), end_id).astype(kind) for x in encoder.encode(texts[a:b])]
-                    ends = at + np.cumsum([len(x) for x in made])
-                    ids_file.write(np.concatenate(made).tobytes())
-                    index.write(np.array([[k or 0, k is not None, e] for k, e in zip(keys[a:b], ends, strict=True)], dtype="<i8").tobytes())
-                    n_docs, at = n_docs + b - a, int(ends[-1])
+            for batch in text_batches(batches):
+                ids, ends = encoder.flat(batch.column(1))
+                line = np.insert(ids, ends, end_id)
+                if line.max(initial=0) >> (8 * width):
+                    raise OverflowError(f"an id doesn't fit {width} bytes")
+                ends = at + ends + np.arange(1, len(ends) + 1)
+                ids_file.write(line.astype(f"<u{width}").tobytes())
+                keys = batch.column(0)
+                rows = np.stack([keys.fill_null(0).to_numpy(zero_copy_only=False), keys.is_valid().to_numpy(zero_copy_only=False), ends], axis=1)
+                index.write(rows.astype("<i8").tobytes())
+                n_docs, at = n_docs + len(ends), int(ends[-1])
         if n_docs:
             yield pa.record_batch([pa.array([task.partitionId()], pa.int32()), pa.array([name]), pa.array([n_docs]), pa.array([at])], names=["part", "name", "n_docs", "n_ids"])
 
     rows = sorted((r.asDict() for r in ordered.mapInArrow(write, MANIFEST).collect()), key=lambda r: r["part"])
     bases = accumulate((r["n_ids"] for r in rows), initial=0)
-    return [r | {"base": base} for r, base in zip(rows, bases, strict=False)]
+    return [r | {"base": base} for r, base in zip(rows, bases, strict=False)], width
+
+
+class Flat:
+    """A file of equal items: mapped where the folder is a file system of this machine, else read range by range."""
 
+    def __init__(self, disk: pafs.FileSystem, path: str, kind: str):
+        self.kind, self.size = np.dtype(kind), disk.get_file_info(path).size // np.dtype(kind).itemsize
+        self.map = np.memmap(path, kind, "r") if isinstance(disk, pafs.LocalFileSystem) and self.size else None
+        self.file = None if self.map is not None else disk.open_input_file(path)
 
-def _mapped(disk: pafs.FileSystem, path: str, kind: str) -> np.ndarray:
-    """A memory map where the folder is a file system of this machine, else the bytes as the store gives them."""
-    if isinstance(disk, pafs.LocalFileSystem):
-        return np.memmap(path, kind, "r") if os.path.getsize(path) else np.empty(0, kind)
-    with disk.open_input_file(path) as file:
-        return np.frombuffer(file.readall(), kind)
+    def items(self, start: int, end: int) -> np.ndarray:
+        if self.map is not None:
+            return self.map[start:end]
+        self.file.seek(start * self.kind.itemsize)
+        return np.frombuffer(self.file.read((end - start) * self.kind.itemsize), self.kind)
 
 
-def read_token_files(spark: SparkSession, folder: str, manifest: list[dict], *, width: int = 2) -> DataFrame:
+def read_token_files(spark: SparkSession, folder: str, manifest: list[dict], width: int) -> DataFrame:
     """Per document its id, where its ids start among all, how many they are and their CRC-32, all from the files."""
-    kind = {2: "<u2", 4: "<u4"}[width]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         disk, path = open_folder(folder)
         for batch in batches:
             for part in batch.to_pylist():
-                ids, index = _mapped(disk, f"{path}/{part['name']}.tok", kind), _mapped(disk, f"{path}/{part['name']}.off", "<i8").reshape(-1, 3)
-                starts = np.concatenate([[0], index[:-1, 2]])
-                for a in range(0, len(index), READ_DOCS):
-                    rows, first = index[a : a + READ_DOCS], starts[a : a + READ_DOCS]
-                    sums = [zlib.crc32(ids[s:e].astype("<u4").tobytes()) for s, e in zip(first.tolist(), rows[:, 2].tolist(), strict=True)]
-                    yield pa.record_batch([pa.array(rows[:, 0], mask=rows[:, 1] == 0), pa.array(first + part["base"]), pa.array(rows[:, 2] - first), pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                ids, index = Flat(disk, f"{path}/{part['name']}.tok", f"<u{width}"), Flat(disk, f"{path}/{part['name']}.off", "<i8")
+                before = 0
+                for a in range(0, index.size // 3, READ_DOCS):
+                    rows = index.items(3 * a, min(index.size, 3 * (a + READ_DOCS))).reshape(-1, 3)
+                    ends = rows[:, 2]
+                    first = np.concatenate([[before], ends[:-1]])
+                    sums = [zlib.crc32(ids.items(s, e).astype("<u4").tobytes()) for s, e in zip(first.tolist(), ends.tolist(), strict=True)]
+                    before = int(ends[-1])
+                    yield pa.record_batch([pa.array(rows[:, 0], mask=rows[:, 1] == 0), pa.array(first + part["base"]), pa.array(ends - first), pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     listed = spark.createDataFrame([(r["name"], r["base"]) for r in manifest], "name string, base long")
     return listed.repartition(max(1, len(manifest))).mapInArrow(read, READ)
@@ -102,4 +120,4 @@ def token_files(docs: DataFrame, tokenizer: str, end_id: int = 2, **columns) ->
     """Write all documents' ids and return what the files hold."""
     spark = docs.sparkSession
     folder = new_path(spark, "tokens")
-    return read_token_files(spark, folder, write_token_files(docs, folder, tokenizer, end_id, **columns))
+    return read_token_files(spark, folder, *write_token_files(docs, folder, tokenizer, end_id, **columns))
