@@ -1,16 +1,18 @@
 """Document fingerprints: Merkle trees over passages, paragraphs and sections, with DataFrame functions only.
 
-A paragraph is a line; its passages end at a punctuation mark that white space follows; a section is a run of paragraphs
-that ends at one whose digest begins with 0 or 1, so an edit moves no section border but those it touches. A passage's
-digest is of its text, a paragraph's and a section's of their children's digests, the root's of the sections'.
+A paragraph is a line; its passages end at a punctuation mark that white space follows, which begins the next passage, so
+no character is left out; a section is a run of paragraphs that ends at one whose digest begins with 0 or 1, so an edit
+moves no section border but those it touches. A passage's digest (SHA-256) is of its text, a paragraph's of its passages'
+digests, a section's of its paragraphs' digests (and the cut ones of their passages), the root's of the sections'.
 
 A fingerprint is the whole tree in order: ``root s<section> p<paragraph> l<passage> l<passage> p... s...``, with 64 hex
-digits for the root and 16 for other nodes. Equal texts have equal fingerprints; different roots mean different texts;
+digits for the root and the first 16 for other nodes. Equal roots mean equal texts, different roots different ones;
 descending only into branches that differ locates the edits (``changed``).
 
 Defined results: null text is empty; an empty text has one section, paragraph and passage; likeness of two fingerprints is
 twice the number of passages they share over the sum of their numbers, each counted once; repeated rows give repeated
-results. A null id comes after all others; rows of equal id are ordered by their texts' hashes. Rows of one id stay together.
+results. A null id comes after all others; rows of equal id are ordered by their texts' hashes. Rows of one id stay
+together. Texts are hashed whole, whatever their length; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,20 +27,26 @@ from .ranks import MOST_BOUNDS, below, bounds
 
 
 def _digest(column: Column) -> Column:
-    return F.substring(F.sha2(column, 256), 1, 16)
+    return F.sha2(column, 256)
+
+
+def _short(column: Column) -> Column:
+    return F.substring(column, 1, 16)
 
 
 def with_fingerprint(df: DataFrame, text: str, to: str) -> DataFrame:
-    """Add the fingerprint of a text column that holds no null."""
-    passages = lambda p: F.transform(F.split(p, r"(?<=[.!?;:,|])\s+"), lambda s: F.concat(F.lit("l"), _digest(s)))
-    df = df.withColumn("_p", F.transform(F.split(F.col(text), "\n"), lambda p: F.array_join(passages(p), " ")))
-    df = df.withColumn("_p", F.transform("_p", lambda p: F.concat(_digest(p), F.lit(" "), p)))
+    """Add the fingerprint of a text column that holds no null. Parents are hashed from whole digests; printed ones are cut."""
+    passages = F.transform(F.split(F.col(text), "\n"), lambda p: F.transform(F.split(p, r"(?<=[.!?;:,|])(?=\s)"), _digest))
+    df = df.withColumn("_p", passages)
+    leaves = lambda x: F.array_join(F.transform(x, lambda s: F.concat(F.lit("l"), _short(s))), " ")
+    df = df.withColumn("_p", F.transform("_p", lambda x: F.concat(_digest(F.array_join(x, " ")), F.lit(" "), leaves(x))))
     ends = lambda p: F.when(p.startswith("0") | p.startswith("1"), F.lit("/")).otherwise(F.lit(" "))
     body = F.rtrim(F.array_join(F.transform("_p", lambda p: F.concat(F.lit("p"), p, ends(p))), ""))
     df = df.withColumn("_s", F.split(F.regexp_replace(body, "/$", ""), "/"))
-    df = df.withColumn("_s", F.transform("_s", lambda s: F.struct(_digest(s).alias("d"), F.rtrim(s).alias("b"))))
-    root = F.sha2(F.array_join(F.transform("_s", lambda s: s["d"]), " "), 256)
-    tree = F.array_join(F.transform("_s", lambda s: F.concat(F.lit("s"), s["d"], F.lit(" "), s["b"])), " ")
+    printed = lambda s: F.rtrim(F.regexp_replace(s, "p([0-9a-f]{16})[0-9a-f]{48}", "p$1"))
+    df = df.withColumn("_s", F.transform("_s", lambda s: F.struct(_digest(F.rtrim(s)).alias("d"), printed(s).alias("b"))))
+    root = _digest(F.array_join(F.transform("_s", lambda s: s["d"]), " "))
+    tree = F.array_join(F.transform("_s", lambda s: F.concat(F.lit("s"), _short(s["d"]), F.lit(" "), s["b"])), " ")
     return df.withColumn(to, F.concat(root, F.lit(" "), tree)).drop("_p", "_s")
 
 
