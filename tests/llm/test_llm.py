@@ -188,6 +188,38 @@ def test_merkle(docs, none, spark):
     assert one.near_next == 1.0
 
 
+def merkle_tree(text):
+    """The fingerprint by a plain reading of its definition."""
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    sections = [[]]
+    for line in text.split("\n"):
+        cuts = [0, *(i for i in range(1, len(line)) if line[i - 1] in ".!?;:,|" and line[i] in " \t\x0b\f\r"), len(line)]
+        leaves = [sha(line[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+        paragraph = sha(" ".join(leaves))
+        sections[-1].append((paragraph, " ".join("l" + x[:16] for x in leaves)))
+        if paragraph[0] in "01":
+            sections.append([])
+    sections = [s for s in sections if s]
+    digests = [sha(" ".join(f"p{p} {x}" for p, x in s)) for s in sections]
+    tree = " ".join(f"s{d[:16]} " + " ".join(f"p{p[:16]} {x}" for p, x in s) for d, s in zip(digests, sections, strict=True))
+    return f"{sha(' '.join(digests))} {tree}"
+
+
+def test_merkle_equals_plain_tree(spark):
+    rnd = random.Random(5)
+    texts = ["", "\n", "a.\n\n", "one two. three", "one two.   three", "one two.\tthree", "one two.\n three", ". . .", "x,", "ä! ö? \u2003z", LONG]
+    texts += ["\n".join("".join(rnd.choice(["a", "bc", ". ", ", ", "  ", "|", "! "]) for _ in range(rnd.randint(0, 12))) for _ in range(rnd.randint(1, 40))) for _ in range(150)]
+    rows = merkle.with_fingerprint(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), "text", "f").collect()
+    assert all(r.f == merkle_tree(r.text) for r in rows)
+    assert len({r.f.split()[0] for r in rows}) == len(set(texts))  # roots test equality
+    pairs = spark.createDataFrame([(merkle_tree(a), merkle_tree(b)) for a, b in zip(texts, texts[1:], strict=False)], "a string, b string")
+    for r in pairs.select("a", "b", merkle.likeness(F.col("a"), F.col("b")).alias("near"), merkle.changed(F.col("a"), F.col("b")).alias("at")).collect():
+        nodes = lambda f, kind: [x for x in f.split() if x[0] == kind]
+        x, y = ({n for n in nodes(f, "l")} for f in (r.a, r.b))
+        assert abs(r.near - (1.0 if r.a == r.b else 2 * len(x & y) / (len(x) + len(y)))) < 1e-12
+        assert r.at == [i for i, n in enumerate(nodes(r.a, "p")) if n not in nodes(r.b, "p")]
+
+
 def test_mixing(docs, none, spark):
     got = mixing.mixed(docs).collect()
     assert len(got) == len(ROWS) and all(0 <= r.taken <= 2 * r.size for r in got)
@@ -228,15 +260,47 @@ def test_media_round_trip(n):
     data = media.padded(random.Random(n).randbytes(n))
     file = media.mux(data)
     assert media.payload(file) == data
-    f = media.features(file)
-    assert f["codec"] == "raw " and f["duration"] == len(data) and sum(k["length"] for k in f["keyframes"]) == len(data)
+    (f,) = media.features(file)["tracks"]
+    assert f["handler"] == "soun" and f["codec"] == "raw " and f["duration"] == len(data) and sum(k["length"] for k in f["keyframes"]) == len(data)
+    assert [k["time"] for k in f["keyframes"]] == list(range(0, len(data), 1024))
     assert media.features(file[:-9])["problem"] and media.features(b"")["problem"]
 
 
-def test_media_column(docs, none):
-    got = media.media_digests(media.with_media(docs)).collect()
-    assert len(got) == len(ROWS) and all(r.payload_bytes % 64 == 0 and r.payload_bytes > 0 for r in got)
-    assert media.media_features(media.with_media(none)).count() == 0
+def test_media_tracks_stand_apart():
+    file = media.mux(media.padded(bytes(range(256)) * 9))
+    moov = next((a, b) for path, a, b in media.walk(file) if path == (b"moov",))
+    one = next(file[a - 8 : b] for path, a, b in media.walk(file) if path == (b"moov", b"trak"))
+    at = one.index(b"stss") - 4
+    size = int.from_bytes(one[at : at + 4], "big")
+    picture = one[:at] + media.box(b"free", one[at + 8 : at + size]) + one[at + size :]  # without stss: every sample is a key frame
+    picture = picture.replace(b"soun", b"vide").replace(b"raw ", b"avc1")
+    both = media.features(file[: moov[0] - 8] + media.box(b"moov", one + picture))["tracks"]
+    assert [t["codec"] for t in both] == ["raw ", "avc1"] and both[1]["channels"] is None
+    assert [len(t["keyframes"]) for t in both] == [3, 36] and both[0]["samples"] == both[1]["samples"] == 36
+
+
+def test_media_survives_hostile_bytes():
+    nested = b""
+    for _ in range(3000):
+        nested = media.box(b"moov", nested)
+    file = media.mux(media.padded(b"x" * 3000))
+    at = file.index(b"stsz") + 8
+    huge = file[:at] + (1).to_bytes(4, "big") + (0xFFFFFFFF).to_bytes(4, "big") + file[at + 8 :]
+    rnd = random.Random(1)
+    broken = [bytes(b if rnd.random() > 0.01 else rnd.randrange(256) for b in file) for _ in range(300)]
+    for data in (nested, huge, file[:-1], b"\0" * 100, b"\0\0\0\1moov", None, *broken):
+        f = media.features(data)
+        assert (f["tracks"] is None) == (f["problem"] is not None)
+
+
+def test_media_column(docs, none, spark):
+    got = media.media_digests(media.stored_media(docs)).collect()
+    want = sorted((len(t), len(p := media.padded(t)), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]), hashlib.sha256(media.mux(p)).hexdigest()) for t in ((r[1] or "").encode() for r in ROWS))
+    assert sorted((r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32, r.media_sha256) for r in got) == want
+    assert media.media_features(media.stored_media(none)).count() == 0
+    wrong = spark.createDataFrame([(1, 3, bytearray(b"abc")), (2, None, None)], "doc_id long, n_bytes long, media binary")
+    assert all(r.payload_sha256 is None and "Error" in r.feature for r in media.media_digests(wrong).collect())
+    assert all(r.tracks is None and r.problem for r in media.media_features(wrong).collect())
 
 
 def test_lm_base_and_fold(docs, none):

@@ -26,7 +26,7 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.media_digests(media.with_media(documents(spark, sf_dir)))
+    return media.media_digests(media.stored_media(documents(spark, sf_dir)))
 
 
 def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
