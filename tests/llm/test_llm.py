@@ -437,3 +437,39 @@ def test_near_copies_equal_brute_force(spark):
         got = {r.doc_id: r.component_id for r in near_copies.near_copies(df, tile_rows=rows).collect()}
         assert [got[i] for i in range(len(texts))] == root
     assert sorted(r.doc_id for r in deduplicate(spark, df, "").collect()) == sorted(set(root))
+
+
+def test_one_row_of_each_group_stays(spark):
+    from voxstrata.llm import near_copies
+
+    text = " ".join(f"w{i}" for i in range(60))
+    other = "a text that nothing else is like at all"
+    rows = [(1, text, 5), (1, text, 6), (1, other, 7), (2, text, 8), (None, text, 9), (None, "an unnamed text of its own", 1), (None, "an unnamed text of its own", 2), (3, None, 1), (4, "", 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row int").repartition(3)
+    got = near_copies.first_copies(df)
+    assert got.columns == df.columns
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in got.collect())
+    assert got == [(False, 1, other), (False, 1, text), (False, 3, ""), (True, 0, "an unnamed text of its own")]
+    assert near_copies.first_copies(df.filter("FALSE")).count() == 0
+
+
+def test_mix_stage_takes_what_the_plan_says(spark):
+    from corpus_pipeline import mix
+
+    rnd = random.Random(3)
+    rows = [(i // 3 if i % 7 else None, " ".join("x" * rnd.randint(0, 30)) if i % 5 else "the same text", "abc"[i % 3], i, 9, 9, 9) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, times int, key int, mark int, doc int")
+    got = mix(spark, df, "")
+    assert got.columns == df.columns
+    got = got.collect()
+    want = Counter()
+    for r in mixing.mixed(df, weights=(5, 2, 1), share=1.5, epochs=2).collect():
+        want[r.doc_id, r.mark] += r["times"]
+    have = Counter((r.doc_id, zlib.crc32(r.text.encode())) for r in got)
+    assert have == +want and {(r.key, r.mark, r.doc) for r in got} == {(9, 9, 9)}
+    given = Counter((r[0], r[1], r[3]) for r in rows)
+    assert all(n <= 2 * given[k] for k, n in Counter((r.doc_id, r.text, r["times"]) for r in got).items())
+
+
+def test_blocks_grow_with_the_fingerprints():
+    assert [simhash.blocks_kept(n, 4) for n in (0, 10**6, 10**7, 10**9, 10**11)] == [1, 1, 2, 2, 3]

@@ -7,12 +7,12 @@ differ by more than the radius is skipped.
 
 Which tiles meet: two fingerprints that differ in at most ``radius`` bits agree on at least ``keep`` of ``radius + keep``
 blocks of bits, so each fingerprint joins one group per choice of ``keep`` blocks, and only groups are tiled. That loses
-no link. A group of more than ``tile_rows`` is dealt by a hash into salts, and every two salts meet in a group of their own.
+no link; the more fingerprints there are, the more blocks have to agree. A group of more than ``tile_rows`` is dealt by a hash into salts, and every two salts meet in a group of their own.
 A tile pair yields a forest of its links, not all pairs; components then follow from all forests.
 
 Defined results: null and empty texts have fingerprint zero, which links like any other; repeated rows fall together;
-a null id belongs to its component but is never its id unless all are null; an empty table gives no rows; other columns
-are ignored.
+a null id belongs to its component but is never its id unless all are null; an empty table gives no rows; texts are read
+whole, whatever their length; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -147,12 +147,20 @@ def links(distinct: DataFrame, radius: int, keep: int = 1, tile_rows: int = 1024
     return dealt.mapInArrow(compare, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, *, radius: int = 4, shingle: int = 4, seed: int = 42, keep: int = 1, tile_rows: int = 1024, **columns) -> DataFrame:
+def blocks_kept(distinct: int, radius: int, tile_rows: int = 1024) -> int:
+    """So many blocks that a group of fingerprints that agree on them holds about a tile's rows, were they random."""
+    keep = 1
+    while keep < 4 and distinct > tile_rows << (64 * keep // (radius + keep)):
+        keep += 1
+    return keep
+
+
+def near_duplicates(docs: DataFrame, *, radius: int = 4, shingle: int = 4, seed: int = 42, keep: int | None = None, tile_rows: int = 1024, **columns) -> DataFrame:
     """(doc_id, fingerprint, component_id): 16 hex digits, and the least id reachable over links."""
     fps = stored(fingerprints(docs, shingle=shingle, seed=seed, **columns), "fingerprints")
     distinct = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    roots = components(links(distinct, radius, keep, tile_rows))
+    roots = components(links(distinct, radius, keep or blocks_kept(distinct.count(), radius, tile_rows), tile_rows))
     classes = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = classes.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = stored(classes.groupBy("root").agg(F.min("first").alias("component_id")), "components")  # stored, so a hot root's rows can be split
     classes = classes.join(least, "root").select("fp", "component_id")
     return fps.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
