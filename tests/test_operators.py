@@ -108,6 +108,77 @@ def test_union_refuses_two_labels_of_one_tile(spark):
     assert got == {(0, 1): 1, (1, 1): 1, (2, 1): 1, (2, 2): 2}
 
 
+def brute_groups(nodes, edges, normal, overlaps, center, most):
+    """Groups as sets of nodes, merged in edge order by the rules."""
+    groups = {k: {k} for k in nodes}
+    order = lambda e: (0, 0, e[:4]) if {e[:2], e[2:4]} <= normal else (1, -e[4], e[:4])
+    for t, a, o, b, _ in sorted(edges, key=order):
+        x, y = groups[t, a], groups[o, b]
+        ok = x is not y
+        for p in x:
+            for q in y:
+                ok = ok and p[0] != q[0] and (max(p[0], q[0]), min(p[0], q[0])) in overlaps and sum((m - n) ** 2 for m, n in zip(center[p], center[q])) <= most**2
+        if ok and x & normal and y & normal and not {(t, a), (o, b)} <= normal:
+            ok = False
+        if ok:
+            x |= y
+            for k in y:
+                groups[k] = x
+    return {k: min(v) for k, v in groups.items()}
+
+
+@pytest.mark.parametrize("with_normal", [False, True])
+@pytest.mark.parametrize("seed", range(2))
+def test_groups_equal_a_plain_pass(spark, seed, with_normal):
+    rnd = random.Random(seed)
+    nodes = [(t, i) for t in range(5) for i in range(1, 5)]
+    center = {k: (rnd.randrange(40), rnd.randrange(40), 0) for k in nodes}
+    overlaps = {(b, a) for a, b in itertools.combinations(range(5), 2) if rnd.random() < 0.8}
+    edges = [(t, a, o, b, rnd.randrange(1, 9)) for t, a in nodes for o, b in nodes if o < t and rnd.random() < 0.25]
+    normal = {k for k in nodes if rnd.random() < 0.5} if with_normal else set()
+    p = cloud(spark, [(t, 10 * t + i, *center[t, i], i, 0) for t, i in nodes])
+    o = spark.createDataFrame(sorted(overlaps), "later long, earlier long").selectExpr("later", "earlier", "-99L ox0", "99L ox1", "-99L oy0", "99L oy1")
+    e = spark.createDataFrame(edges, "tile long, a long, other long, b long, n long")
+    keys = spark.createDataFrame(sorted(normal), "tile long, inst long") if with_normal else None
+    got = {(r.tile, r.inst): r.group for r in reconcile.reconciled(p, o, e, 30, keys).collect()}
+    want = brute_groups(nodes, edges, normal, overlaps, center, 30)
+    number = {root: i + 1 for i, root in enumerate(sorted(set(want.values())))}
+    assert got == {k: number[root] for k, root in want.items()}
+
+
+def test_conflicts_are_refused(spark):
+    tiles = grid.tile_grid(spark.createDataFrame([(0, 0), (20, 10)], "X long, Y long"), 10, 4)
+    say = lambda sem: cloud(spark, [(0, 1, 9, 5, 0, 1, 1), (1, 2, 9, 5, 0, 1, sem)])
+    assert ownership.pipeline(say(1), tiles, 4, refuse=True).count() == 1
+    ground = cloud(spark, [(0, 1, 9, 5, 0, 0, 1), (1, 2, 9, 5, 0, 0, 2)])
+    with pytest.raises(ValueError, match="conflict"):
+        ownership.pipeline(ground, tiles, 4, refuse=True)
+
+
+def test_barred_candidates_are_never_admitted(spark):
+    claims = spark.createDataFrame([(0, i, 10 * k, 0, 0) for i, n in ((1, 4), (2, 3), (3, 2)) for k in range(10 * i, 10 * i + n)], "tile long, inst long, X long, Y long, Z long")
+    bars = spark.createDataFrame([(0, 1, 0, 2), (0, 3, None, None)], "tile long, inst long, other long, other_inst long")
+    assert [(r.inst, r.score) for r in reconcile.greedy_cover(claims, 1, bars).collect()] == [(1, 4)]
+
+
+def test_colors_follow_the_rule(spark):
+    rnd = random.Random(2)
+    p = cloud(spark, [(0, i, rnd.randrange(500), rnd.randrange(500), 0, i, 0) for i in range(1, 40)])
+    names = coloring.palette(6)
+    labs = [coloring.lab(coloring.rgb(c)) for c in names]
+    got = {r.inst: r.color - 1 for r in coloring.colors(p, names, k=4).collect()}
+    near = {}
+    for r in instances.nearest_centroids(p, 4).collect():
+        near.setdefault(r.inst, []).append((r.distance, r.other))
+    draws, seen = np.random.default_rng(0), {}
+    for inst in sorted(near, key=lambda i: (sum(d for d, _ in near[i]) / 5, i)):
+        used = {seen[o] for _, o in near[inst] if o in seen}
+        far = lambda c: sum(np.linalg.norm(labs[c] - labs[u]) for u in used)  # noqa: B023, E731
+        want = {int(draws.integers(6))} if not used else {c for c in set(range(6)) - used if abs(far(c) - max(map(far, set(range(6)) - used))) < 1e-9}
+        assert got[inst] in want
+        seen[inst] = got[inst]
+
+
 def test_gates_raise(spark):
     p = cloud(spark, [(0, 1, 0, 0, 0, 5, 0)])
     with pytest.raises(Exception, match="no mapping"):

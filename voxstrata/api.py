@@ -59,16 +59,17 @@ class PointFrame:
     def own(self, tiles: DataFrame, anchor: str = "centroid") -> PointFrame:
         return self._with(ownership.core_filter(self.df, tiles, grid.neighbors(tiles), anchor))
 
-    def reconcile(self, tiles: DataFrame, radius: str = "0.05", threshold: float = 0.3, least: int = 10, most_distance: str = "5") -> PointFrame:
-        """Labels of all tiles become global ones."""
+    def reconcile(self, tiles: DataFrame, radius: str = "0.05", threshold: float = 0.3, least: int = 10, most_distance: str = "5", normal: DataFrame | None = None) -> PointFrame:
+        """Labels of all tiles become global ones; ``normal``: the (tile, inst) that aren't recovered."""
         overlapping, far = grid.overlaps(tiles), self.lattice.units(most_distance)
         edges = reconcile.match_edges(self.df, overlapping, limit2(radius, self.lattice.scale), threshold=threshold, least=least, most_distance=far)
-        mapping = reconcile.reconciled(self.df, overlapping, edges, far)
+        mapping = reconcile.reconciled(self.df, overlapping, edges, far, normal)
         named = instances.mapped(self.df, mapping, ("tile", "inst"), "group")
         return self._with(named.drop("inst").withColumnRenamed("group", "inst"))
 
-    def dedup(self, tiles: DataFrame, radius: str = "0.01") -> PointFrame:
-        return self._with(ownership.pipeline(self.df, tiles, limit2(radius, self.lattice.scale)))
+    def dedup(self, tiles: DataFrame, radius: str = "0.01", *, refuse: bool = True) -> PointFrame:
+        """One owner a place; with ``refuse`` labels that still conflict are an error."""
+        return self._with(ownership.pipeline(self.df, tiles, limit2(radius, self.lattice.scale), refuse=refuse))
 
     def consolidate(self, tiles: DataFrame) -> PointFrame:
         return self._with(instances.consolidate(self.df, instances.owner_plan(self.df, tiles)))

@@ -102,7 +102,15 @@ def deduplicate(points: DataFrame, overlapping: DataFrame, limit2: int) -> DataF
     return done
 
 
-def pipeline(points: DataFrame, tiles: DataFrame, limit2: int) -> DataFrame:
-    """Shared points, trees over background, then duplicates: the order decides the result."""
+def pipeline(points: DataFrame, tiles: DataFrame, limit2: int, *, refuse: bool = False, background_sem: int = 0) -> DataFrame:
+    """Shared points, trees over background, a check for conflicts, then duplicates: the order decides the result.
+
+    With ``refuse`` any conflict between what two tiles still say of one place is an error that names the first.
+    """
     kept = tree_over_background(shared_points(points, tiles, limit2), limit2)
+    if refuse:
+        kept = cut(kept)
+        first = conflicts(kept, tiles, limit2, background_sem).orderBy("tile", "pid", "other", "other_pid").limit(1).collect()
+        if first:
+            raise ValueError(f"labels of tiles {first[0].other} and {first[0].tile} conflict at point {first[0].pid}")
     return deduplicate(kept, grid.overlaps(tiles), limit2)

@@ -7,7 +7,10 @@ equals one global run in the same order.
 
 from __future__ import annotations
 
-import numpy as np
+import math
+from heapq import heapify, heappop, heappush
+from itertools import product, starmap
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,55 +87,67 @@ def _component_labels(links: DataFrame) -> DataFrame:
     return nodes.join(components(links, cut), "node", "left").select("node", F.coalesce("root", "node").alias("component"))
 
 
-def _union(edges: pd.DataFrame, centroids: dict, overlaps: set, most: float) -> dict:
-    """Union in edge order: refused if two labels of one tile would meet, or members' tiles don't overlap or their
-    centroids there lie too far apart."""
-    parent, members = {}, {}
-
-    def root(k):
-        parent.setdefault(k, k)
-        members.setdefault(k, {k[0]: k[1]})
-        while parent[k] != k:
-            k = parent[k]
-        return k
-
-    def compatible(left, right):
-        for t, x in left.items():
-            for o, y in right.items():
-                if (max(t, o), min(t, o)) not in overlaps:
-                    return False
-                p, q = centroids.get((t, o, x)), centroids.get((o, t, y))
-                if most and p is not None and q is not None and float(((p - q) ** 2).sum()) > most * most:
-                    return False
-        return True
-
-    for e in edges.sort_values(["n", *PAIR], ascending=[False, True, True, True, True]).itertuples(index=False):
-        left, right = root((e.tile, e.a)), root((e.other, e.b))
-        if left == right:
-            continue
-        a, b = members[left], members[right]
-        if any(t in b and b[t] != x for t, x in a.items()) or not compatible(a, b):
-            continue
-        keep, gone = sorted((left, right))
-        parent[gone] = keep
-        members[keep].update(members[gone])
-    return {k: root(k) for k in list(parent)}
-
-
-def reconciled(points: DataFrame, overlapping: DataFrame, edges: DataFrame, most_distance: int = 5000) -> DataFrame:
-    """(tile, inst) -> group, 1..G by the least member; unions are constrained and ordered."""
+class _Groups:
+    """Labels of tiles that grow into groups; a node is (tile, label), and two nodes are at odds if no group may hold both."""
+
+    def __init__(self, overlaps: set[tuple[int, int]], centers: dict[tuple[int, int, int], tuple[float, float, float]], most: float, normal: set[tuple[int, int]]):
+        self.overlaps, self.centers, self.most, self.normal = overlaps, centers, most, normal
+        self.home: dict[tuple[int, int], frozenset] = {}
+
+    def of(self, node: tuple[int, int]) -> frozenset:
+        return self.home.setdefault(node, frozenset((node,)))
+
+    def at_odds(self, one: tuple[int, int], other: tuple[int, int]) -> bool:
+        (t, _), (o, _) = one, other
+        if t == o:
+            return one != other
+        if (max(t, o), min(t, o)) not in self.overlaps:
+            return True
+        here, there = self.centers.get((*one, o)), self.centers.get((*other, t))
+        return bool(self.most) and None not in (here, there) and math.dist(here, there) > self.most
+
+    def join(self, one: tuple[int, int], other: tuple[int, int]) -> None:
+        """Makes one group of two nodes' groups, unless members are at odds, or a recovered node's match would bridge two
+        groups that each have normal members."""
+        mine, theirs = self.of(one), self.of(other)
+        bridge = not {one, other} <= self.normal and not mine.isdisjoint(self.normal) and not theirs.isdisjoint(self.normal)
+        if mine is theirs or bridge or any(starmap(self.at_odds, product(mine, theirs))):
+            return
+        self.home.update(dict.fromkeys(mine | theirs, mine | theirs))
+
+
+def reconciled(points: DataFrame, overlapping: DataFrame, edges: DataFrame, most_distance: int = 5000, normal: DataFrame | None = None) -> DataFrame:
+    """(tile, inst) -> group, 1..G by the least member; unions are constrained and ordered.
+
+    ``normal``: the (tile, inst) that were there before recovery. Then edges between them go first, in key order, and no
+    other edge joins two groups that hold some. A pair of nodes beyond ``most_distance`` (0: any) never shares a group.
+    """
     node = lambda t, i: F.col(t) * (1 << 32) + F.col(i)
-    edges = cut(edges)
+    flag = lambda t, i, name: normal.select(F.col("tile").alias(t), F.col("inst").alias(i)).distinct().withColumn(name, F.lit(True))
+    if normal is None:
+        edges = edges.withColumns({"_a": F.lit(False), "_b": F.lit(False)})
+    else:
+        edges = edges.join(flag("tile", "a", "_a"), ["tile", "a"], "left").join(flag("other", "b", "_b"), ["other", "b"], "left").fillna(False, ["_a", "_b"])
+    edges = cut(edges.select(*PAIR, "n", "_a", "_b"))
     labels = _component_labels(edges.select(node("tile", "a").alias("u"), node("other", "b").alias("v")))
-    tagged = edges.join(labels, node("tile", "a") == F.col("node")).select("component", *PAIR, "n")
+    both = F.col("_a") & F.col("_b")
+    tagged = edges.join(labels, node("tile", "a") == F.col("node")).select("component", *PAIR, "_a", "_b", F.when(both, 0).otherwise(1).alias("turn"), F.when(both, 0).otherwise(-F.col("n")).alias("rank"))
     keys = tagged.select("component", F.col("tile"), F.col("a").alias("inst")).unionByName(tagged.select("component", F.col("other").alias("tile"), F.col("b").alias("inst"))).distinct()
     shapes = overlap_shapes(points, overlapping).join(keys, ["tile", "inst"]).select(F.col("component").alias("part"), "tile", "other", "inst", *((F.col(f"s{x}") / F.col("n")).alias(f"c{x}") for x in "xyz"))
-    allowed = {(r[0], r[1]) for r in overlapping.select("later", "earlier").collect()}  # tiles, not points
+    # a component's own part of the layout goes with its shapes: tiles that share an area
+    near = keys.select("component", "tile").distinct()
+    near = near.join(overlapping.select(F.col("later").alias("tile"), F.col("earlier").alias("other")), "tile").select(F.col("component").alias("part"), "tile", "other", F.lit(None).cast("long").alias("inst"), *(F.lit(None).cast("double").alias(f"c{x}") for x in "xyz"))
+    shapes = shapes.unionByName(near)
 
     def solve(key, e: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
-        centroids = {(r.tile, r.other, r.inst): np.array([r.cx, r.cy, r.cz]) for r in s.itertuples(index=False)}
-        found = _union(e, centroids, allowed, most_distance)
-        return pd.DataFrame([(k[0], k[1], r[0], r[1]) for k, r in sorted(found.items())], columns=["tile", "inst", "root_tile", "root_inst"])
+        layout = s["inst"].isna()
+        centers = {(int(t), int(i), int(o)): (x, y, z) for t, o, i, x, y, z in s.loc[~layout, ["tile", "other", "inst", "cx", "cy", "cz"]].itertuples(index=False)}
+        overlaps = set(s.loc[layout, ["tile", "other"]].itertuples(index=False, name=None))
+        ends = {(t, a): x for t, a, x in e[["tile", "a", "_a"]].itertuples(index=False)} | {(t, b): x for t, b, x in e[["other", "b", "_b"]].itertuples(index=False)}
+        groups = _Groups(overlaps, centers, most_distance, {k for k, x in ends.items() if x})
+        for t, a, o, b in e.sort_values(["turn", "rank", *PAIR])[list(PAIR)].itertuples(index=False):
+            groups.join((t, a), (o, b))
+        return pd.DataFrame([(*k, *min(groups.of(k))) for k in sorted(ends)], columns=["tile", "inst", "root_tile", "root_inst"])
 
     solved = tagged.groupBy("component").cogroup(shapes.groupBy("part")).applyInPandas(solve, "tile long, inst long, root_tile long, root_inst long")
     every = points.filter("inst > 0").select("tile", "inst").distinct().join(solved, ["tile", "inst"], "left")
@@ -167,32 +182,32 @@ def greedy_cover(claimed: DataFrame, limit2: int, conflicts: DataFrame | None =
         pair = conflicts.filter("other IS NOT NULL").select((F.col("tile") * (1 << 32) + F.col("inst")).alias("u"), (F.col("other") * (1 << 32) + F.col("other_inst")).alias("v"))
         shared = shared.unionByName(pair)
     labels = _component_labels(shared)
-    rows = own.withColumn("own", F.lit(True)).unionByName(cover.withColumn("own", F.lit(False)))
-    rows = rows.withColumn("node", F.col("tile") * (1 << 32) + F.col("inst")).join(labels, "node")
-    blocked, barred = set(), {}
+    rows = own.withColumn("kind", F.lit(0)).unionByName(cover.withColumn("kind", F.lit(1)))
     if conflicts is not None:
-        for r in conflicts.distinct().collect():  # pairs of instances, not points
-            if "other" in conflicts.columns and r["other"] is not None:
-                barred.setdefault((r["tile"], r["inst"]), set()).add((r["other"], r["other_inst"]))
-                barred.setdefault((r["other"], r["other_inst"]), set()).add((r["tile"], r["inst"]))
-            else:
-                blocked.add((r["tile"], r["inst"]))
+        single = conflicts.filter("other IS NULL") if "other" in conflicts.columns else conflicts
+        rows = rows.join(single.select("tile", "inst").distinct(), ["tile", "inst"], "left_anti")
+    if conflicts is not None and "other" in conflicts.columns:
+        # who bars whom goes along as rows: the other candidate's node in place of a location
+        ends = conflicts.filter("other IS NOT NULL").select("tile", "inst", F.col("other").alias("o"), F.col("other_inst").alias("i"))
+        ends = ends.unionByName(ends.select(F.col("o").alias("tile"), F.col("i").alias("inst"), F.col("tile").alias("o"), F.col("inst").alias("i")))
+        rows = rows.unionByName(ends.select("tile", "inst", (F.col("o") * (1 << 32) + F.col("i")).alias("pid"), F.lit(2).alias("kind")).distinct())
+    rows = rows.withColumn("node", F.col("tile") * (1 << 32) + F.col("inst")).join(labels, "node")
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        own, reach = {}, {}
-        for (t, i, is_own), g in pdf.groupby(["tile", "inst", "own"]):
-            (own if is_own else reach)[(t, i)] = set(g["pid"])
-        covered, admitted, gone = set(), [], set(blocked)
-        while True:
-            best = max(((len(s - covered), (-k[0], -k[1])) for k, s in own.items() if k not in gone), default=(0, None))
-            if not best[0]:
-                break
-            k = (-best[1][0], -best[1][1])
-            gone.add(k)
-            if barred.get(k, set()) & {(t, i) for t, i, *_ in admitted}:
-                continue
-            admitted.append((k[0], k[1], len(admitted) + 1, best[0]))
-            covered |= reach.get(k, set()) | own[k]
+        own, reach, bars = ({k: set(g) for k, g in pdf.loc[pdf["kind"] == kind].groupby(["tile", "inst"])["pid"]} for kind in range(3))
+        # scores only fall, so a candidate whose score is still right when it comes up is the best one
+        queue = [(-len(places), k) for k, places in own.items()]
+        heapify(queue)
+        covered, barred, admitted = set(), set(), []
+        while queue:
+            said, k = heappop(queue)
+            score = len(own[k] - covered)
+            if score and score < -said:
+                heappush(queue, (-score, k))
+            elif score and (k[0] << 32) + k[1] not in barred:
+                admitted.append((*k, len(admitted) + 1, score))
+                covered |= own[k] | reach.get(k, set())
+                barred |= bars.get(k, set())
         return pd.DataFrame(admitted, columns=["tile", "inst", "place", "score"]).astype("int64")
 
     return rows.groupBy("component").applyInPandas(solve, "tile long, inst long, place long, score long")
