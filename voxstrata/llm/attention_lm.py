@@ -15,7 +15,7 @@ import numpy as np
 #: Every scored position sees at least WINDOW - STEP tokens before it, half a window.
 WINDOW, STEP, WIDTH, GROUP = 64, 32, 16, 32
 #: Windows whose arrays fit a core's cache, and windows held for the second step.
-BATCH, HELD = 48, 1536
+BATCH, HELD = 96, 1536
 
 
 def segments(sequences: list[np.ndarray], pad: int) -> tuple[np.ndarray, np.ndarray]:
@@ -56,31 +56,51 @@ def bigrams(both: np.ndarray, trust: float = 20.0) -> tuple[np.ndarray, np.ndarr
 
 
 _AGE = np.arange(WINDOW - STEP, WINDOW)[:, None] - np.arange(WINDOW)[None, :]  # query's position minus key's
-_FUTURE = _AGE < 0
+_SEEN = _AGE >= 0
+#: Logits beyond this are held there, so exponentials need no maximum taken off and never overflow.
+MOST = 60
 
 
-def attend(p: dict, pad: int, context: np.ndarray) -> tuple:
-    """What the last STEP positions of each window attend to, (windows, STEP, WIDTH), with the parts of it."""
-    asked = context[:, -STEP:]
-    q, k, v = p["q"][asked], p["k"][context], p["v"][context]
+def _weights(p: dict, pad: int, context: np.ndarray) -> tuple:
+    """Unnormalised attention of the last STEP positions of each window, its sums, and queries, keys and values."""
+    q, k, v = p["q"][context[:, -STEP:]], p["k"][context], p["v"][context]
+    q *= q.dtype.type(WIDTH**-0.5)
     a = q @ k.transpose(0, 2, 1)
-    a *= np.float32(WIDTH**-0.5)
-    a += np.where(_FUTURE, np.float32(-1e9), p["b"][np.maximum(_AGE, 0)])
-    if (context[:, 0] == pad).any():
-        a[np.broadcast_to((context == pad)[:, None, :], a.shape)] = -1e9
-    a -= a.max(2)[..., None]
+    a += p["b"][np.maximum(_AGE, 0)]
+    np.clip(a, -MOST, MOST, out=a)
     np.exp(a, out=a)
-    a /= a.sum(2)[..., None]
-    return a @ v, q, k, v, a
+    a *= _SEEN
+    head = np.flatnonzero(context[:, 0] == pad)  # only a text's first window begins with padding
+    if len(head):
+        a[head] *= (context[head] != pad)[:, None, :]
+    return a, a @ np.ones(WINDOW, a.dtype), q, k, v
 
 
-def _step(z: np.ndarray, logs: np.ndarray, asked: np.ndarray, want: np.ndarray) -> np.ndarray:
-    """Log probabilities of ``want`` for logits ``z`` plus the bigram's rows; ``z`` is bounded and overwritten."""
-    np.minimum(z, 60, out=z)  # the bigram's logarithms aren't positive, so no exponential overflows
-    z += np.take(logs, asked, axis=0)
-    got = z[np.arange(len(z)), want]
+def attend(p: dict, pad: int, context: np.ndarray) -> np.ndarray:
+    """What the last STEP positions of each window see, (windows, STEP, WIDTH)."""
+    a, total, _, _, v = _weights(p, pad, context)
+    return (a @ v) / np.maximum(total, 1e-30)[..., None]
+
+
+def _grouped(want: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order that puts equal groups together, and where each begins and ends in it."""
+    group = (want // GROUP).astype(np.uint16)  # short integers sort by radix
+    return np.argsort(group, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(group, minlength=groups))])
+
+
+def _inner(p: dict, second: np.ndarray, h: np.ndarray, asked: np.ndarray, group: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Logits of the place in the group, for rows ordered by group."""
+    z = second[group, asked]
+    for g in np.flatnonzero(np.diff(ends)):
+        z[ends[g] : ends[g + 1]] += h[ends[g] : ends[g + 1]] @ p["i"][g]
+    return z
+
+
+def _exponentials(z: np.ndarray) -> np.ndarray:
+    """In place; returns the sums of rows. Bigrams' logarithms and what is added are bounded below, so no sum is zero."""
+    np.clip(z, -MOST, MOST, out=z)
     np.exp(z, out=z)
-    return got - np.log(z.sum(1))
+    return z @ np.ones(z.shape[1], z.dtype)
 
 
 def class_scores(p: dict, first: np.ndarray, second: np.ndarray, inputs: list[np.ndarray], targets: list[np.ndarray]) -> np.ndarray:
@@ -89,28 +109,23 @@ def class_scores(p: dict, first: np.ndarray, second: np.ndarray, inputs: list[np
     buf, starts = segments(inputs, pad)
     goal, _ = segments(targets, pad)
     out, at = np.empty(len(buf), np.float32), np.arange(WINDOW)
-    for i in range(0, len(starts), HELD):
-        place = starts[i : i + HELD, None] + at
-        context = buf[place]
-        last = place[:, -STEP:].ravel()
-        asked, want = context[:, -STEP:].ravel(), np.minimum(goal[last], pad - 1)
-        group, inner = want // GROUP, want % GROUP
-        h = np.concatenate([attend(p, pad, context[j : j + BATCH])[0] for j in range(0, len(context), BATCH)]).reshape(-1, WIDTH)
-        got = np.empty(len(h), np.float32)
-        for j in range(0, len(h), 8192):
-            s = slice(j, j + 8192)
-            got[s] = _step(h[s] @ p["o"], first, asked[s], group[s])
-        order = np.argsort(group, kind="stable")
-        ends = np.searchsorted(group[order], np.arange(len(second) + 1))
-        for g in np.unique(group):
-            own = order[ends[g] : ends[g + 1]]
-            got[own] += _step(h[own] @ p["i"][g], second[g], asked[own], inner[own])
-        out[last] = got
+    for i in range(0, len(starts), BATCH):
+        place = starts[i : i + BATCH, None] + at
+        context, last = buf[place], place[:, -STEP:].ravel()
+        want = np.minimum(goal[last], pad - 1)
+        order, ends = _grouped(want, len(second))
+        h, asked, want = attend(p, pad, context).reshape(-1, WIDTH)[order], buf[last][order], want[order]
+        rows, group = np.arange(len(want)), want // GROUP
+        got = np.zeros(len(want), h.dtype)
+        for z, pick in ((first[asked] + h @ p["o"], group), (_inner(p, second, h, asked, group, ends), want % GROUP)):
+            total = _exponentials(z)
+            got += np.log(z[rows, pick] / total)
+        out[last[order]] = got
     return out[goal != pad]
 
 
 def _summed(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
     rows = rows[order]
     first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
     table[rows[first]] += np.add.reduceat(values[order], first, axis=0)
@@ -118,11 +133,9 @@ def _summed(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
 
 def _slope(z: np.ndarray, want: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, float]:
     """Gradient of the summed loss by the logits, times ``scale``, and the loss."""
-    z = z - z.max(1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
+    z /= _exponentials(z)[:, None]
     at = np.arange(len(z))
-    loss = -float((np.log(np.maximum(z[at, want], 1e-30)) * scale).sum())
+    loss = -float(np.log(z[at, want]) @ scale)
     z[at, want] -= 1
     z *= scale[:, None]
     return z, loss
@@ -131,31 +144,40 @@ def _slope(z: np.ndarray, want: np.ndarray, scale: np.ndarray) -> tuple[np.ndarr
 def gradients(p: dict, first: np.ndarray, second: np.ndarray, context: np.ndarray, target: np.ndarray) -> tuple[dict, float]:
     """Of the mean loss over targets that aren't padding."""
     pad = len(p["q"]) - 1
-    asked, goal = context[:, -STEP:], target.ravel()
-    h, q, k, v, a = attend(p, pad, context)
-    flat, want = h.reshape(-1, WIDTH), np.minimum(goal, pad - 1)
-    scale = ((goal != pad) / max(1, (goal != pad).sum())).astype(np.float32)
+    goal = target.ravel()
+    a, total, q, k, v = _weights(p, pad, context)
+    a /= np.maximum(total, 1e-30)[..., None]
+    h = a @ v
+    kind = h.dtype
+    want = np.minimum(goal, pad - 1)
+    order, ends = _grouped(want, len(second))
+    flat, asked, want = h.reshape(-1, WIDTH)[order], context[:, -STEP:].ravel()[order], want[order]
+    live = goal[order] != pad
+    scale = (live / max(1, live.sum())).astype(kind)
+    group = want // GROUP
     g = {n: np.zeros_like(x) for n, x in p.items()}
-    dz, loss = _slope(first[asked.ravel()] + flat @ p["o"], want // GROUP, scale)
+    dz, loss = _slope(first[asked] + flat @ p["o"], group, scale)
     g["o"] += flat.T @ dz
-    dh = dz @ p["o"].T
-    order = np.argsort(want // GROUP, kind="stable")
-    ends = np.searchsorted(want[order] // GROUP, np.arange(len(second) + 1))
-    for x in np.unique(want // GROUP):
-        own = order[ends[x] : ends[x + 1]]
-        dz, more = _slope(second[x][asked.ravel()[own]] + flat[own] @ p["i"][x], want[own] % GROUP, scale[own])
-        loss += more
-        g["i"][x] += flat[own].T @ dz
-        dh[own] += dz @ p["i"][x].T
+    ds = dz @ p["o"].T
+    dz, more = _slope(_inner(p, second, flat, asked, group, ends), want % GROUP, scale)
+    for x in np.flatnonzero(np.diff(ends)):
+        own = slice(ends[x], ends[x + 1])
+        g["i"][x] += flat[own].T @ dz[own]
+        ds[own] += dz[own] @ p["i"][x].T
+    dh = np.empty_like(ds)
+    dh[order] = ds
     dh = dh.reshape(h.shape)
     da = dh @ v.transpose(0, 2, 1)
-    da = a * (da - (a * da).sum(2)[..., None])
-    g["b"] += np.bincount(np.maximum(_AGE, 0).ravel(), da.sum(0).ravel(), WINDOW).astype(np.float32)
-    da *= np.float32(WIDTH**-0.5)
-    _summed(g["q"], asked.ravel(), (da @ k).reshape(-1, WIDTH))
-    _summed(g["k"], context.ravel(), (da.transpose(0, 2, 1) @ q).reshape(-1, WIDTH))
-    _summed(g["v"], context.ravel(), (a.transpose(0, 2, 1) @ dh).reshape(-1, WIDTH))
-    return g, loss
+    da -= (dh * h).sum(2)[..., None]  # the sum of weights times their slopes
+    da *= a
+    g["b"] += np.bincount(np.maximum(_AGE, 0).ravel(), np.ones(len(da), kind) @ da.reshape(len(da), -1), WINDOW).astype(kind)
+    _summed(g["q"], asked, (da @ k).reshape(-1, WIDTH)[order] * kind.type(WIDTH**-0.5))
+    both = np.concatenate([da.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh], axis=2).reshape(-1, 2 * WIDTH)
+    kv = np.zeros((pad + 1, 2 * WIDTH), kind)
+    _summed(kv, context.ravel(), both)
+    g["k"] += kv[:, :WIDTH]
+    g["v"] += kv[:, WIDTH:]
+    return g, loss + more
 
 
 def train(p: dict, first: np.ndarray, second: np.ndarray, context: np.ndarray, target: np.ndarray, seen: dict | None = None, rate: float = 0.1, batch: int = BATCH) -> tuple[dict, dict]:

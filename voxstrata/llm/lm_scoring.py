@@ -4,7 +4,9 @@ The text is seen as its words, lower-cased (A-Z): one space before each word, th
 subword ids of that line. What it learns covers all training documents: word counts, subword counts, what precedes each
 subword, class bigrams, and attention weights. The weights come from rounds of local training: each task passes once over
 every window of its documents, and the tasks' weights are averaged by their windows, in two steps, before the next round.
-(``thin`` above one would take one window in ``thin``; nothing registered does.) Held-out documents teach nothing.
+So the weights, unlike the counts, depend a little on how rows lie in partitions. Held-out documents teach nothing.
+
+Work goes in steps of bounded numbers of ids, unless a single text is longer. Counts leave a task as a few packed blocks.
 
 The base needs a count for every word. The most frequent words (``hot_words`` at most) are broadcast; each other word of
 a document becomes a row that joins the counts by word. So no worker holds the vocabulary.
@@ -18,23 +20,25 @@ from __future__ import annotations
 
 import base64
 import math
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import attention_lm as lm
-from .common import arrow_type, id_and_text, map_lists, stored
+from .common import arrow_type, id_and_text, map_lists, stored, text_batches
 
 #: GPT-like pre-tokens of a line of words.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CLASSES, SHARED, KINDS = 1024, 32, 32
 END = b" "  # no word holds a space
+#: Cells of a vector of counts that travel in one row, and bytes of ids or lines that a step takes.
+BLOCK, STEP_BYTES = 1 << 16, 1_000_000
 
 _coders: dict = {}
 
@@ -70,6 +74,19 @@ def encoded(docs: DataFrame, ranks: str, *, id_col: str = "doc_id", text_col: st
     return map_lists(id_and_text(docs, id_col, text_col, held.alias("held_out")), "doc_id long, held_out boolean, line binary, ids binary", make)
 
 
+def _words(lines: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of lines, the words as numbers of these, and how many each line has."""
+    parts = pc.split_pattern(lines, b" ")  # the first part of each line is empty
+    sizes = np.diff(parts.offsets.to_numpy())
+    flat = parts.flatten().dictionary_encode()
+    codes = flat.indices.to_numpy()
+    if not len(codes):
+        return flat.dictionary, codes, sizes
+    first = np.zeros(len(codes), np.bool_)
+    first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+    return flat.dictionary, codes[~first], np.maximum(sizes - 1, 0)
+
+
 def word_counts(table: DataFrame) -> DataFrame:
     """(word, c) over the training rows; the end counts as a word."""
     schema = T._parse_datatype_string("word binary, n long")
@@ -81,35 +98,60 @@ def word_counts(table: DataFrame) -> DataFrame:
             made = pa.record_batch([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], schema=arrow_type(schema))
             return (made.slice(i, 20_000) for i in range(0, made.num_rows, 20_000))
 
-        for batch in batches:
-            for line in batch.column(0).to_pylist():
-                held.update(line.split())
+        for batch in text_batches(batches, 0):
+            names, codes, _ = _words(batch.column(0))
+            held.update(dict(zip(names.to_pylist(), np.bincount(codes, minlength=len(names)).tolist(), strict=True)))
             held[END] += batch.num_rows
-            if len(held) > 500_000:
+            if len(held) > 300_000:
                 yield from rows()
                 held = Counter()
+        held.pop(b"", None)  # what stands before a line's first space
         yield from rows()
 
-    return table.filter("NOT held_out").select("line").mapInArrow(count, schema).groupBy("word").agg(F.sum("n").alias("c"))
+    return table.filter("NOT held_out").select("line").mapInArrow(count, schema).filter("n > 0 AND length(word) > 0").groupBy("word").agg(F.sum("n").alias("c"))
 
 
 def _sums(table: DataFrame, cells: int, count) -> np.ndarray:
-    """Sum over tasks of a vector of counts; ``count`` maps a list of id arrays to keys whose occurrences are counted."""
-    schema = T._parse_datatype_string("at int, n long")
+    """A vector of counts over all training rows; ``count`` maps a list of id arrays to the numbers of the cells they count in.
+
+    A task sends each block of cells as one row: packed numbers and counts of those that aren't zero. Blocks are added up
+    apart from each other, and come to the driver as one vector.
+    """
+    schema = T._parse_datatype_string("block int, at binary, n binary")
+
+    def packed(total: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for block in range(0, cells, BLOCK):
+            at = np.flatnonzero(total[block : block + BLOCK])
+            if len(at):
+                yield pa.record_batch([[block // BLOCK], [at.astype("<u2").tobytes()], [total[block + at].astype("<i8").tobytes()]], schema=arrow_type(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(cells, np.int64)
+        total, keys, held = np.zeros(cells, np.int64), [], 0
+        for batch in text_batches(batches, 0):
+            keys.append(count([np.frombuffer(x, "<u2") for x in batch.column(0).to_pylist()]))
+            held += len(keys[-1])
+            if held >= cells:
+                total += np.bincount(np.concatenate(keys), minlength=cells)
+                keys, held = [], 0
+        if held:
+            total += np.bincount(np.concatenate(keys), minlength=cells)
+        yield from packed(total)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            keys = count([np.frombuffer(x, "<u2").astype(np.int64) for x in batch.column(0).to_pylist()])
-            total += np.bincount(keys, minlength=cells)
-        at = np.flatnonzero(total)
-        for i in range(0, len(at), 50_000):
-            yield pa.record_batch([pa.array(at[i : i + 50_000], pa.int32()), pa.array(total[at[i : i + 50_000]])], schema=arrow_type(schema))
+            for block, at, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                sums.setdefault(block, np.zeros(BLOCK, np.int64))[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<i8")
+        for block, total in sums.items():
+            at = np.flatnonzero(total)
+            yield pa.record_batch([[block], [at.astype("<u2").tobytes()], [total[at].astype("<i8").tobytes()]], schema=arrow_type(schema))
 
-    rows = table.filter("NOT held_out").select("ids").mapInArrow(run, schema).groupBy("at").agg(F.sum("n").alias("n")).toPandas()  # at most ``cells`` rows
-    out = np.zeros(cells, np.int64)
-    out[rows["at"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    return out
+    blocks = -(-cells // BLOCK)
+    rows = table.filter("NOT held_out").select("ids").mapInArrow(run, schema).repartition(blocks, "block").mapInArrow(add, schema).collect()  # at most a row a block
+    out = np.zeros(blocks * BLOCK, np.int64)
+    for r in rows:
+        out[r["block"] * BLOCK + np.frombuffer(r["at"], "<u2").astype(np.int64)] = np.frombuffer(r["n"], "<i8")
+    return out[:cells]
 
 
 class Model:
@@ -135,8 +177,8 @@ class Model:
         return np.add.reduceat(each, np.concatenate([[0], ends[:-1]])).tolist()
 
 
-def _round(table: DataFrame, model: Model, thin: int, turn: int) -> None:
-    """One round of local training; sets the model's weights to the mean over tasks."""
+def _round(table: DataFrame, model: Model, turn: int) -> None:
+    """One round of local training over every window; sets the model's weights to the mean over tasks."""
     names = list(model.p)
     schema = T._parse_datatype_string("part int, windows double, weights binary")
     start, pad = model.p, CLASSES
@@ -152,25 +194,20 @@ def _round(table: DataFrame, model: Model, thin: int, turn: int) -> None:
             mixed = np.random.default_rng(turn).permutation(len(c))
             return lm.train(p, model.first, model.second, c[mixed], t[mixed], squares, rate=0.1 / (1 + turn))
 
-        for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                row = model.around(np.frombuffer(raw, "<u2").astype(np.int64))
-                m = -(-(len(row) - 1) // lm.STEP)
-                first = (zlib.crc32(raw) + turn) % thin
-                if first >= m:
-                    continue
-                buf, starts = lm.segments([row[:-1]], pad)
-                goal, _ = lm.segments([row[1:]], pad)
-                for i in range(first, m, thin * lm.HELD):
-                    place = starts[i : i + thin * lm.HELD : thin, None] + at
-                    contexts.append(buf[place])
-                    targets.append(goal[place[:, -lm.STEP :]])
-                    held += len(place)
-                    if held >= lm.HELD:
-                        p, squares = learned()
-                        done, held = done + held, 0
-                        contexts.clear()
-                        targets.clear()
+        for batch in text_batches(batches, 0, STEP_BYTES):
+            rows = [model.around(np.frombuffer(x, "<u2")) for x in batch.column(0).to_pylist()]
+            buf, starts = lm.segments([r[:-1] for r in rows], pad)
+            goal, _ = lm.segments([r[1:] for r in rows], pad)
+            for i in range(0, len(starts), lm.HELD):
+                place = starts[i : i + lm.HELD, None] + at
+                contexts.append(buf[place])
+                targets.append(goal[place[:, -lm.STEP :]])
+                held += len(place)
+                if held >= lm.HELD:
+                    p, squares = learned()
+                    done, held = done + held, 0
+                    contexts.clear()
+                    targets.clear()
         if held:
             p, squares = learned()
             done += held
@@ -195,7 +232,7 @@ def _round(table: DataFrame, model: Model, thin: int, turn: int) -> None:
             at += model.p[n].size
 
 
-def fit(table: DataFrame, size: int, thin: int = 1, rounds: int = 2) -> Model:
+def fit(table: DataFrame, size: int, rounds: int = 2) -> Model:
     """Learn from the rows that aren't held out; ``size``: how many ids the encoder has; the end is one more."""
     end = lambda rows: np.concatenate([y for x in rows for y in (x, [size])])
     counts = _sums(table, size + 1, end)
@@ -218,11 +255,11 @@ def fit(table: DataFrame, size: int, thin: int = 1, rounds: int = 2) -> Model:
     both = _sums(table, CLASSES * CLASSES, pairs).reshape(CLASSES, CLASSES).astype(np.float64)
     model.first, model.second = lm.bigrams(both)
     for turn in range(rounds):
-        _round(table, model, thin, turn)
+        _round(table, model, turn)
     return model
 
 
-def scores(docs: DataFrame, ranks: str, *, thin: int = 1, rounds: int = 2, hot_words: int = 250_000, **columns) -> DataFrame:
+def scores(docs: DataFrame, ranks: str, *, rounds: int = 2, hot_words: int = 250_000, **columns) -> DataFrame:
     """Per document: held_out, n_tokens, n_known, train_tokens, base_score and score (base-10 logarithms)."""
     spark = docs.sparkSession
     table = stored(encoded(docs, ranks, **columns), "lm-encoded")
@@ -240,48 +277,40 @@ def scores(docs: DataFrame, ranks: str, *, thin: int = 1, rounds: int = 2, hot_w
         least = row["c"]
     common = {bytes(r["word"]): r["c"] for r in counts.filter(F.col("c") >= least).collect()} if least is not None else {}
     costs = {w: math.log10((c + 1) / divisor) for w, c in common.items()}
-    hot = spark.sparkContext.broadcast((costs, fit(table, len(_ranks(ranks)), thin, rounds)))
+    hot = spark.sparkContext.broadcast((costs, fit(table, len(_ranks(ranks)), rounds)))
     schema = T._parse_datatype_string("row long, doc_id long, held_out boolean, n_tokens long, score double, word binary, n long, base double, known long")
-
     made = arrow_type(schema)
-    types = made.types
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         costs, model = hot.value
-        row = TaskContext.get().partitionId() << 40
-        get, ended = costs.get, costs.get(END)
-        for batch in batches:
-            for a in range(0, batch.num_rows, 200):
-                keys, holds, lines, ids = (c.slice(a, 200).to_pylist() for c in batch.columns)
-                logs = model.scores([np.frombuffer(x, "<u2").astype(np.int64) for x in ids])
-                whole: list[tuple] = []
-                rare: tuple[list, list, list] = ([], [], [])
-                for key, hold, line, log in zip(keys, holds, lines, logs, strict=True):
-                    tokens = line.split()
-                    found = [get(w) for w in tokens]
-                    missed: Counter = Counter()
-                    if None in found:
-                        missed.update(w for w, x in zip(tokens, found, strict=True) if x is None)
-                        found = [x for x in found if x is not None]
-                    if ended is not None:
-                        found.append(ended)
-                    else:
-                        missed[END] += 1
-                    # the row's own word holds a space, so it joins no count
-                    whole.append((row, key, hold, len(tokens) + 1, log / math.log(10), b"  %d" % row, 0, math.fsum(found), len(found)))
-                    rare[0].extend([row] * len(missed))
-                    rare[1].extend(missed)
-                    rare[2].extend(missed.values())
-                    row += 1
-                yield pa.record_batch([pa.array(x, type=t) for x, t in zip(zip(*whole, strict=True), types, strict=True)], schema=made)
-                if rare[0]:
-                    n = len(rare[0])
-                    columns = [pa.nulls(n, t) for t in types]
-                    columns[0], columns[5], columns[6] = pa.array(rare[0], types[0]), pa.array(rare[1], types[5]), pa.array(rare[2], types[6])
-                    columns[7], columns[8] = pa.array(np.zeros(n)), pa.array(np.zeros(n, np.int64))
-                    yield pa.record_batch(columns, schema=made)
+        row, ended = TaskContext.get().partitionId() << 40, costs.get(END)
+        for batch in text_batches(batches, 3, STEP_BYTES):
+            n = batch.num_rows
+            logs = model.scores([np.frombuffer(x, "<u2") for x in batch.column(3).to_pylist()])
+            names, codes, sizes = _words(batch.column(2))
+            cost = np.array([costs.get(w, np.nan) for w in names.to_pylist()], np.float64)[codes]
+            owner = np.repeat(np.arange(n), sizes)
+            met = ~np.isnan(cost)
+            base = np.bincount(owner[met], cost[met], n) + (0.0 if ended is None else ended)
+            known = np.bincount(owner[met], minlength=n) + (ended is not None)
+            # the row's own word holds a space, so it joins no count
+            own = pa.array([b"  %d" % (row + i) for i in range(n)], pa.binary())
+            whole = [pa.array(np.arange(row, row + n)), batch.column(0), batch.column(1), pa.array(sizes + 1), pa.array(np.array(logs) / math.log(10)), own, pa.array(np.zeros(n, np.int64)), pa.array(base), pa.array(known)]
+            yield pa.record_batch([c.cast(t) for c, t in zip(whole, made.types, strict=True)], schema=made)
+            pairs, times = np.unique(owner[~met] * max(1, len(names)) + codes[~met], return_counts=True)
+            at, word = np.divmod(pairs, max(1, len(names)))
+            rare = [row + at, names.take(pa.array(word)), times]
+            if ended is None:
+                rare = [np.concatenate([rare[0], row + np.arange(n)]), pa.concat_arrays([rare[1].cast(pa.binary()), pa.array([END] * n, pa.binary())]), np.concatenate([times, np.ones(n, np.int64)])]
+            for i in range(0, len(rare[0]), 50_000):
+                some = [x[i : i + 50_000] for x in rare]
+                columns = [pa.nulls(len(some[0]), t) for t in made.types]
+                columns[0], columns[5], columns[6] = pa.array(some[0], pa.int64()), some[1].cast(pa.binary()), pa.array(some[2], pa.int64())
+                columns[7], columns[8] = pa.array(np.zeros(len(some[0]))), pa.array(np.zeros(len(some[0]), np.int64))
+                yield pa.record_batch(columns, schema=made)
+            row += n
 
     seen = table.select("doc_id", "held_out", "line", "ids").mapInArrow(score, schema)
     joined = seen.join(counts, "word", "left")
