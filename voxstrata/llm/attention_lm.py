@@ -63,13 +63,13 @@ MOST = 60
 
 def _weights(p: dict, pad: int, context: np.ndarray) -> tuple:
     """Unnormalised attention of the last STEP positions of each window, its sums, and queries, keys and values."""
-    q, k, v = p["q"][context[:, -STEP:]], p["k"][context], p["v"][context]
+    q, k, v = (np.take(p[n], x, axis=0) for n, x in (("q", context[:, -STEP:]), ("k", context), ("v", context)))
     q *= q.dtype.type(WIDTH**-0.5)
     a = q @ k.transpose(0, 2, 1)
     a += p["b"][np.maximum(_AGE, 0)]
     np.clip(a, -MOST, MOST, out=a)
     np.exp(a, out=a)
-    a *= _SEEN
+    a *= _SEEN.astype(a.dtype)
     head = np.flatnonzero(context[:, 0] == pad)  # only a text's first window begins with padding
     if len(head):
         a[head] *= (context[head] != pad)[:, None, :]
@@ -90,7 +90,7 @@ def _grouped(want: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _inner(p: dict, second: np.ndarray, h: np.ndarray, asked: np.ndarray, group: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Logits of the place in the group, for rows ordered by group."""
-    z = second[group, asked]
+    z = np.take(second.reshape(-1, GROUP), group * second.shape[1] + asked, axis=0)
     for g in np.flatnonzero(np.diff(ends)):
         z[ends[g] : ends[g + 1]] += h[ends[g] : ends[g + 1]] @ p["i"][g]
     return z
@@ -117,7 +117,7 @@ def class_scores(p: dict, first: np.ndarray, second: np.ndarray, inputs: list[np
         h, asked, want = attend(p, pad, context).reshape(-1, WIDTH)[order], buf[last][order], want[order]
         rows, group = np.arange(len(want)), want // GROUP
         got = np.zeros(len(want), h.dtype)
-        for z, pick in ((first[asked] + h @ p["o"], group), (_inner(p, second, h, asked, group, ends), want % GROUP)):
+        for z, pick in ((np.take(first, asked, axis=0) + h @ p["o"], group), (_inner(p, second, h, asked, group, ends), want % GROUP)):
             total = _exponentials(z)
             got += np.log(z[rows, pick] / total)
         out[last[order]] = got
@@ -128,16 +128,16 @@ def _summed(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     order = np.argsort(rows.astype(np.uint16), kind="stable")
     rows = rows[order]
     first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    table[rows[first]] += np.add.reduceat(values[order], first, axis=0)
+    table[rows[first]] += np.add.reduceat(np.take(values, order, axis=0), first, axis=0)
 
 
 def _slope(z: np.ndarray, want: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, float]:
     """Gradient of the summed loss by the logits, times ``scale``, and the loss."""
-    z /= _exponentials(z)[:, None]
-    at = np.arange(len(z))
-    loss = -float(np.log(z[at, want]) @ scale)
-    z[at, want] -= 1
-    z *= scale[:, None]
+    total = _exponentials(z)
+    line, at = z.reshape(-1), np.arange(0, z.size, z.shape[1]) + want
+    loss = -float(np.log(line[at] / total) @ scale)
+    z *= (scale / total)[:, None]
+    line[at] -= scale
     return z, loss
 
 
@@ -151,12 +151,12 @@ def gradients(p: dict, first: np.ndarray, second: np.ndarray, context: np.ndarra
     kind = h.dtype
     want = np.minimum(goal, pad - 1)
     order, ends = _grouped(want, len(second))
-    flat, asked, want = h.reshape(-1, WIDTH)[order], context[:, -STEP:].ravel()[order], want[order]
+    flat, asked, want = np.take(h.reshape(-1, WIDTH), order, axis=0), context[:, -STEP:].ravel()[order], want[order]
     live = goal[order] != pad
     scale = (live / max(1, live.sum())).astype(kind)
     group = want // GROUP
     g = {n: np.zeros_like(x) for n, x in p.items()}
-    dz, loss = _slope(first[asked] + flat @ p["o"], group, scale)
+    dz, loss = _slope(np.take(first, asked, axis=0) + flat @ p["o"], group, scale)
     g["o"] += flat.T @ dz
     ds = dz @ p["o"].T
     dz, more = _slope(_inner(p, second, flat, asked, group, ends), want % GROUP, scale)
@@ -168,13 +168,15 @@ def gradients(p: dict, first: np.ndarray, second: np.ndarray, context: np.ndarra
     dh[order] = ds
     dh = dh.reshape(h.shape)
     da = dh @ v.transpose(0, 2, 1)
-    da -= (dh * h).sum(2)[..., None]  # the sum of weights times their slopes
+    da -= np.einsum("bij,bij->bi", dh, h)[..., None]  # the sum of weights times their slopes
     da *= a
     g["b"] += np.bincount(np.maximum(_AGE, 0).ravel(), np.ones(len(da), kind) @ da.reshape(len(da), -1), WINDOW).astype(kind)
-    _summed(g["q"], asked, (da @ k).reshape(-1, WIDTH)[order] * kind.type(WIDTH**-0.5))
-    both = np.concatenate([da.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh], axis=2).reshape(-1, 2 * WIDTH)
+    _summed(g["q"], context[:, -STEP:].ravel(), (da @ k).reshape(-1, WIDTH) * kind.type(WIDTH**-0.5))
+    both = np.empty((*context.shape, 2 * WIDTH), kind)
+    np.matmul(da.transpose(0, 2, 1), q, out=both[..., :WIDTH])
+    np.matmul(a.transpose(0, 2, 1), dh, out=both[..., WIDTH:])
     kv = np.zeros((pad + 1, 2 * WIDTH), kind)
-    _summed(kv, context.ravel(), both)
+    _summed(kv, context.ravel(), both.reshape(-1, 2 * WIDTH))
     g["k"] += kv[:, :WIDTH]
     g["v"] += kv[:, WIDTH:]
     return g, loss + more

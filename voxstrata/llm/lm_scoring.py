@@ -19,6 +19,8 @@ columns are ignored. Texts are scored whole, whatever their length.
 from __future__ import annotations
 
 import base64
+import contextlib
+import ctypes
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -37,10 +39,11 @@ from .common import arrow_type, id_and_text, map_lists, stored, text_batches
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CLASSES, SHARED, KINDS = 1024, 32, 32
 END = b" "  # no word holds a space
-#: Cells of a vector of counts that travel in one row, and bytes of ids or lines that a step takes.
+#: Cells of a vector of counts that travel in one row, and bytes of ids that a step takes.
 BLOCK, STEP_BYTES = 1 << 16, 1_000_000
 
 _coders: dict = {}
+_spelled: dict = {}
 
 
 def _coder(path: str):
@@ -53,13 +56,24 @@ def _coder(path: str):
     return _coders[path]
 
 
+def _pieces(path: str) -> pa.Array:
+    """The bytes of each id."""
+    if path not in _spelled:
+        with open(path, "rb") as file:
+            ranks = sorted((int(b), base64.b64decode(a)) for a, b in map(bytes.split, file))
+        _spelled[path] = pa.array([x for _, x in ranks], pa.binary())
+    return _spelled[path]
+
+
 def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
 def encoded(docs: DataFrame, ranks: str, *, id_col: str = "doc_id", text_col: str = "text", fold: int = 7, out: int = 2) -> DataFrame:
-    """(doc_id, held_out, line, ids): ids as 16-bit integers, without the end."""
+    """(doc_id, held_out, ids): ids as 16-bit integers, without the end. They spell the line, so it isn't kept beside them."""
     held = F.crc32(F.encode(F.coalesce(F.col(id_col).cast("string"), F.lit("")), "utf-8")) % fold == out
+    if len(_pieces(ranks)) >= 1 << 16:
+        raise OverflowError("ids of this vocabulary don't fit 16 bits")
 
     def make():
         coder = _coder(ranks)
@@ -67,11 +81,28 @@ def encoded(docs: DataFrame, ranks: str, *, id_col: str = "doc_id", text_col: st
         def apply(keys, texts, holds):
             lines = [b" " + b" ".join(w) if (w := words(t)) else b"" for t in texts]
             ids = [coder.encode_to_numpy(x.decode("utf-8", "replace"), disallowed_special=()).astype("<u2").tobytes() if x else b"" for x in lines]
-            return [keys, holds, lines, ids]
+            return [keys, holds, ids]
 
         return apply
 
-    return map_lists(id_and_text(docs, id_col, text_col, held.alias("held_out")), "doc_id long, held_out boolean, line binary, ids binary", make)
+    return map_lists(id_and_text(docs, id_col, text_col, held.alias("held_out")), "doc_id long, held_out boolean, ids binary", make)
+
+
+def spelled(ids: pa.Array, ranks: str) -> pa.Array:
+    """The lines that rows of ids (16-bit integers in binaries) stand for."""
+    ends = np.cumsum(pc.binary_length(ids).to_numpy().astype(np.int64)) // 2
+    flat = np.frombuffer(b"".join(ids.to_pylist()), "<u2")
+    parts = _pieces(ranks).take(pa.array(flat))
+    places = np.frombuffer(parts.buffers()[1], np.int32)[parts.offset : parts.offset + len(flat) + 1] if len(flat) else np.zeros(1, np.int32)
+    offsets = places[np.concatenate([[0], ends])].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), parts.buffers()[2] if len(flat) else pa.py_buffer(b"")])
+
+
+def _rested() -> None:
+    """Gives a worker's free memory back; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def _words(lines: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -87,7 +118,7 @@ def _words(lines: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return flat.dictionary, codes[~first], np.maximum(sizes - 1, 0)
 
 
-def word_counts(table: DataFrame) -> DataFrame:
+def word_counts(table: DataFrame, ranks: str) -> DataFrame:
     """(word, c) over the training rows; the end counts as a word."""
     schema = T._parse_datatype_string("word binary, n long")
 
@@ -98,8 +129,8 @@ def word_counts(table: DataFrame) -> DataFrame:
             made = pa.record_batch([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], schema=arrow_type(schema))
             return (made.slice(i, 20_000) for i in range(0, made.num_rows, 20_000))
 
-        for batch in text_batches(batches, 0):
-            names, codes, _ = _words(batch.column(0))
+        for batch in text_batches(batches, 0, STEP_BYTES):
+            names, codes, _ = _words(spelled(batch.column(0), ranks))
             held.update(dict(zip(names.to_pylist(), np.bincount(codes, minlength=len(names)).tolist(), strict=True)))
             held[END] += batch.num_rows
             if len(held) > 300_000:
@@ -107,8 +138,9 @@ def word_counts(table: DataFrame) -> DataFrame:
                 held = Counter()
         held.pop(b"", None)  # what stands before a line's first space
         yield from rows()
+        _rested()
 
-    return table.filter("NOT held_out").select("line").mapInArrow(count, schema).filter("n > 0 AND length(word) > 0").groupBy("word").agg(F.sum("n").alias("c"))
+    return table.filter("NOT held_out").select("ids").mapInArrow(count, schema).filter("n > 0 AND length(word) > 0").groupBy("word").agg(F.sum("n").alias("c"))
 
 
 def _sums(table: DataFrame, cells: int, count) -> np.ndarray:
@@ -127,7 +159,7 @@ def _sums(table: DataFrame, cells: int, count) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, keys, held = np.zeros(cells, np.int64), [], 0
-        for batch in text_batches(batches, 0):
+        for batch in text_batches(batches, 0, STEP_BYTES):
             keys.append(count([np.frombuffer(x, "<u2") for x in batch.column(0).to_pylist()]))
             held += len(keys[-1])
             if held >= cells:
@@ -136,6 +168,8 @@ def _sums(table: DataFrame, cells: int, count) -> np.ndarray:
         if held:
             total += np.bincount(np.concatenate(keys), minlength=cells)
         yield from packed(total)
+        del total, keys
+        _rested()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -214,6 +248,7 @@ def _round(table: DataFrame, model: Model, turn: int) -> None:
         if done:
             flat = np.concatenate([p[n].ravel() for n in names]).astype("<f4")
             yield pa.record_batch([[TaskContext.get().partitionId() % 16], [float(done)], [(flat * done).tobytes()]], schema=arrow_type(schema))
+        _rested()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = 0.0, None
@@ -263,7 +298,7 @@ def scores(docs: DataFrame, ranks: str, *, rounds: int = 2, hot_words: int = 250
     """Per document: held_out, n_tokens, n_known, train_tokens, base_score and score (base-10 logarithms)."""
     spark = docs.sparkSession
     table = stored(encoded(docs, ranks, **columns), "lm-encoded")
-    counts = stored(word_counts(table), "lm-words")
+    counts = stored(word_counts(table, ranks), "lm-words")
     total, distinct = counts.agg(F.sum("c"), F.count("*")).first()
     total, distinct = int(total or 0), int(distinct or 0)
     divisor = max(1, total + distinct + 1)
@@ -286,10 +321,10 @@ def scores(docs: DataFrame, ranks: str, *, rounds: int = 2, hot_words: int = 250
 
         costs, model = hot.value
         row, ended = TaskContext.get().partitionId() << 40, costs.get(END)
-        for batch in text_batches(batches, 3, STEP_BYTES):
+        for batch in text_batches(batches, 2, STEP_BYTES):
             n = batch.num_rows
-            logs = model.scores([np.frombuffer(x, "<u2") for x in batch.column(3).to_pylist()])
-            names, codes, sizes = _words(batch.column(2))
+            logs = model.scores([np.frombuffer(x, "<u2") for x in batch.column(2).to_pylist()])
+            names, codes, sizes = _words(spelled(batch.column(2), ranks))
             cost = np.array([costs.get(w, np.nan) for w in names.to_pylist()], np.float64)[codes]
             owner = np.repeat(np.arange(n), sizes)
             met = ~np.isnan(cost)
@@ -311,8 +346,9 @@ def scores(docs: DataFrame, ranks: str, *, rounds: int = 2, hot_words: int = 250
                 columns[7], columns[8] = pa.array(np.zeros(len(some[0]))), pa.array(np.zeros(len(some[0]), np.int64))
                 yield pa.record_batch(columns, schema=made)
             row += n
+        _rested()
 
-    seen = table.select("doc_id", "held_out", "line", "ids").mapInArrow(score, schema)
+    seen = table.select("doc_id", "held_out", "ids").mapInArrow(score, schema)
     joined = seen.join(counts, "word", "left")
     c = F.coalesce("c", F.lit(0))
     base = F.col("base") + F.col("n") * F.log10((c + 1) / F.lit(float(divisor)))
