@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -176,6 +177,37 @@ def test_secret_spans(docs, none, spark):
     assert secret_scan.scan(none).count() == 0
 
 
+def test_base_spans_equal_a_plain_scan():
+    rnd = random.Random(8)
+    parts = ["password", "PassWord", "api_key", "apikey", "token", "secret", '"', "'", " ", "  ", ":", "=", "AKIA", "AKIAAKIA", "A1B2", "deadbeef", "0123456789abcdef", "+/", "_", ".", "-", "ä", "K", "ſecret", "\n", "x" * 12, "AB" * 7]
+    for _ in range(4000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12)))
+        want = [(m.start(), m.end(), "assign") for m in re.finditer(r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text) if len(m[2]) >= 12]
+        want += [(m.start(), m.end(), "access") for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+        want += [(m.start(), m.end(), "hex") for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 16]
+        assert secret_scan.base_spans(text) == sorted(want, key=lambda s: (s[0], secret_scan.KINDS.index(s[2]))), text
+
+
+def test_secrets_that_no_pattern_knows(spark):
+    text = [(i, " ".join(random.Random(i).choice("the of and house water light morning".split()) for _ in range(50))) for i in range(50)]
+    ratios = secret_scan.train(spark.createDataFrame(text, "doc_id long, text string")).ravel()
+    rnd = random.Random(9)  # neither these keys nor these words are among the training samples
+    letters = secret_scan.ALPHABET[:62]
+    words = "account balance history panel render manager factory builder customer order invoice payment".split()
+    spans = lambda t: secret_scan.model_spans(t, ratios, secret_scan.base_spans(t))
+    hit = wrong = 0
+    for _ in range(200):
+        key = "".join(rnd.choice(letters) for _ in range(rnd.choice((16, 20, 32))))
+        line = rnd.choice(("see {} now", "path/to/auth={}", "my-service-name-{}.", "{}")).format(key)
+        hit += any(a <= line.index(key) and line.index(key) + len(key) <= b for a, b, _ in spans(line))
+        some = [rnd.choice(words) for _ in range(rnd.randint(2, 5))]
+        wrong += bool(spans(rnd.choice(("_".join(some), "".join(w.title() for w in some), "/".join(some), "-".join(some) + "7"))))
+    assert hit >= 190 and wrong <= 12, (hit, wrong)
+    line = "x deadbeef00112233 Zk9QvT7bLr2XwM4c"  # a base span keeps its own, what stands beside it is judged
+    found = spans(line)
+    assert secret_scan.base_spans(line) and all(b <= line.index("dead") or a >= line.index(" Zk9") for a, b, _ in found) and found
+
+
 def test_merkle(docs, none, spark):
     got = {r.doc_id: r for r in merkle.edited_fingerprints(docs.filter("doc_id IS NULL OR doc_id != 7")).collect()}
     order = [(9, ROWS[8][1]), (5, LONG), (4, ""), (3, ""), (2, ROWS[1][1]), (1, ROWS[0][1]), (None, ROWS[5][1])]

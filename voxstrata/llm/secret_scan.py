@@ -1,7 +1,7 @@
 """Secret scans: plain patterns, and character Markov models of random strings and of ordinary identifiers.
 
-Patterns give the base spans. The models give more: a long token of the scanned alphabet whose log-likelihood ratio,
-random against ordinary, is high both over its length and in all. Both are first-order Markov chains over the alphabet,
+Patterns give the base spans. The models give more: the parts of a run of the scanned alphabet whose log-likelihood
+ratio, random against ordinary, is high both for each character and in all. Both are first-order Markov chains over the alphabet,
 counted over labelled samples from every document (values of base spans are random, other tokens are ordinary) and over
 generated ones, so they know strings that the corpus lacks. Counts are summed by key before a few thousand sums go to the
 driver.
@@ -33,8 +33,8 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-
 SIZE = len(ALPHABET) + 1  # the last stands for both ends
 CODE = np.full(128, SIZE - 1, np.int64)
 CODE[[ord(x) for x in ALPHABET]] = np.arange(len(ALPHABET))
-#: A model span has this length at least, this log ratio in all and this much for each character.
-LEAST_LENGTH, LEAST_RATIO, LEAST_EACH = 20, 16.0, 0.4
+#: A model span has this log ratio in all and this much for each character, at least.
+LEAST_RATIO, LEAST_EACH = 22.0, 0.4
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -62,8 +62,9 @@ def generated_samples(seed: int = 7, each: int = 400) -> dict[str, list[str]]:
     ordinary = []
     for _ in range(each * len(kinds)):
         some = [rnd.choice(words) for _ in range(rnd.randint(2, 5))]
-        style = rnd.randrange(4)
-        ordinary.append(("_".join(some), "".join(w.title() for w in some), "/".join(some), ".".join(some) + str(rnd.randint(0, 99)))[style])
+        titled, number = "".join(w.title() for w in some), str(rnd.randint(0, 99))
+        styles = ("_".join(some), titled, some[0] + titled, "/".join(some), "-".join(some), ".".join(some), f"{some[0]}.{titled}", f"{'/'.join(some)}.{rnd.choice(('html', 'json', 'py', 'txt'))}", "_".join(some).upper())
+        ordinary.append(rnd.choice(styles) + (number if rnd.random() < 0.2 else ""))
     return {"random": ["".join(rnd.choice(k) for _ in range(rnd.randint(16, 64))) for k in kinds for _ in range(each)], "ordinary": ordinary}
 
 
@@ -98,25 +99,64 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     for k, tokens in enumerate(generated_samples().values()):
         made = np.bincount(_pairs("\n".join(tokens)), minlength=SIZE * SIZE).reshape(SIZE, SIZE)
         # the generated strings weigh as much as the corpus's of their class, however many those are
-        counts[k] += made * max(1.0, counts[k].sum() / made.sum() if k == 0 else 1.0)
+        counts[k] += made * max(1.0, counts[k].sum() / made.sum())
     smooth = counts + 0.5
     logs = np.log(smooth / smooth.sum(2, keepdims=True))
     return logs[0] - logs[1]
 
 
+def _best_parts(gains: np.ndarray) -> list[tuple[int, int]]:
+    """Disjoint parts of a row of numbers with the largest sums: the best one, then the best to its left and right."""
+    out, todo = [], [(0, len(gains))]
+    while todo:
+        lo, hi = todo.pop()
+        sums = np.concatenate([[0.0], np.cumsum(gains[lo:hi])])
+        rise = sums - np.minimum.accumulate(sums)
+        b = int(np.argmax(rise))
+        if rise[b] < 1:
+            continue
+        a = int(np.argmin(sums[: b + 1]))
+        out.append((lo + a, lo + b))
+        todo += [(lo, lo + a), (lo + b, hi)]
+    return sorted(out)
+
+
 def model_spans(text: str, ratios: np.ndarray, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """In each run of the alphabet, the parts whose ratios add up; no part holds a base span or a piece of one.
+
+    A part takes in the letters and digits that adjoin it, so that no end of a key is left over.
+    """
+    runs = [m.span() for m in TOKEN.finditer(text)]
+    if not runs:
+        return []
+    line = "\n".join([text[a:b] for a, b in runs])
+    each = ratios[_pairs(line)]  # of the step into each character, and out of the last; a line end stands for both ends
+    starts = np.cumsum([0, *(b - a + 1 for a, b in runs[:-1])])
+    good = np.add.reduceat(np.maximum(each, 0), starts)
     found, i = [], 0
-    for m in TOKEN.finditer(text):
-        a, b = m.span()
-        if b - a < LEAST_LENGTH:
-            continue
+    for k in np.flatnonzero(good >= LEAST_RATIO).tolist():
+        a, b = runs[k]
+        steps = each[starts[k] : starts[k] + b - a + 1].copy()
         while i < len(taken) and taken[i][1] <= a:
             i += 1
-        if i < len(taken) and taken[i][0] < b:
-            continue
-        ratio = float(ratios[_pairs(m[0])].sum())
-        if ratio >= LEAST_RATIO and ratio >= LEAST_EACH * (b - a):
-            found.append((a, b, "markov"))
+        barred = np.zeros(b - a, bool)
+        for lo, hi, _ in taken[i:]:
+            if lo >= b:
+                break
+            barred[max(0, lo - a) : max(0, hi - a)] = True
+        steps[:-1][barred] = steps[1:][barred] = -1e9
+        last = 0
+        for x, y in _best_parts(steps - LEAST_EACH):
+            if steps[x:y].sum() < LEAST_RATIO:
+                continue
+            lo, hi = max(last, x - 1, 0), min(y, b - a)
+            while lo > last and not barred[lo - 1] and text[a + lo - 1].isalnum():
+                lo -= 1
+            while hi < b - a and not barred[hi] and text[a + hi].isalnum():
+                hi += 1
+            if hi > lo:
+                found.append((a + lo, a + hi, "markov"))
+                last = hi
     return found
 
 
