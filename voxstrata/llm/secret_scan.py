@@ -34,7 +34,7 @@ SIZE = len(ALPHABET) + 1  # the last stands for both ends
 CODE = np.full(128, SIZE - 1, np.int64)
 CODE[[ord(x) for x in ALPHABET]] = np.arange(len(ALPHABET))
 #: A model span has this log ratio in all and this much for each character, at least.
-LEAST_RATIO, LEAST_EACH = 22.0, 0.4
+LEAST_RATIO, LEAST_EACH = 18.0, 0.4
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -58,7 +58,9 @@ def generated_samples(seed: int = 7, each: int = 400) -> dict[str, list[str]]:
     """Labelled strings that any corpus may lack: random ones over usual alphabets, and identifiers put together from words."""
     rnd = random.Random(seed)
     kinds = ("0123456789abcdef", ALPHABET[:62], ALPHABET[:62] + "+/", ALPHABET[:62] + "_-", ALPHABET[:26] + ALPHABET[52:62], ALPHABET[26:62])
-    words = "get set user name file path data count index value list map query result table column row key hash node tree list state time date error config option handler request response server client session buffer stream input output parse format write read open close update delete create build test main init default global local static public private".split()
+    words = "get set user name file path data count index value list map query result table column row key hash node tree list state time date error config option handler request response server client session buffer stream input output parse format write read open close update delete create build test main init default global local static public private"
+    words += " message channel worker queue thread process kernel device driver network socket packet header body field record schema cluster partition block chunk image pixel color shape vector matrix tensor layer weight gradient sample label batch epoch metric score report summary detail search filter sort merge split join group count total amount price product item article chapter page section title author publisher language country region street number phone email address logout admin guest profile picture video audio caption comment reply follow share contact privacy policy terms service support question answer weather season january monday morning"
+    words = words.split()
     ordinary = []
     for _ in range(each * len(kinds)):
         some = [rnd.choice(words) for _ in range(rnd.randint(2, 5))]
@@ -106,14 +108,14 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def _best_parts(gains: np.ndarray) -> list[tuple[int, int]]:
-    """Disjoint parts of a row of numbers with the largest sums: the best one, then the best to its left and right."""
+    """Disjoint parts of a row of numbers that reach ``LEAST_RATIO``: the largest sum, then the largest to its left and right."""
     out, todo = [], [(0, len(gains))]
     while todo:
         lo, hi = todo.pop()
         sums = np.concatenate([[0.0], np.cumsum(gains[lo:hi])])
         rise = sums - np.minimum.accumulate(sums)
         b = int(np.argmax(rise))
-        if rise[b] < 1:
+        if rise[b] < LEAST_RATIO:
             continue
         a = int(np.argmin(sums[: b + 1]))
         out.append((lo + a, lo + b))
@@ -146,8 +148,8 @@ def model_spans(text: str, ratios: np.ndarray, taken: list[tuple[int, int, str]]
             barred[max(0, lo - a) : max(0, hi - a)] = True
         steps[:-1][barred] = steps[1:][barred] = -1e9
         last = 0
-        for x, y in _best_parts(steps - LEAST_EACH):
-            if steps[x:y].sum() < LEAST_RATIO:
+        for x, y in _best_parts(steps):
+            if steps[x:y].sum() < LEAST_EACH * (y - x):
                 continue
             lo, hi = max(last, x - 1, 0), min(y, b - a)
             while lo > last and not barred[lo - 1] and text[a + lo - 1].isalnum():
