@@ -19,8 +19,6 @@ columns are ignored. Texts are scored whole, whatever their length.
 from __future__ import annotations
 
 import base64
-import contextlib
-import ctypes
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -33,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import attention_lm as lm
-from .common import arrow_type, id_and_text, map_lists, stored, text_batches
+from .common import arrow_type, id_and_text, map_lists, rested, stored, text_batches
 
 #: GPT-like pre-tokens of a line of words.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -98,13 +96,6 @@ def spelled(ids: pa.Array, ranks: str) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), parts.buffers()[2] if len(flat) else pa.py_buffer(b"")])
 
 
-def _rested() -> None:
-    """Gives a worker's free memory back; workers live on between tasks."""
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 def _words(lines: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The distinct words of lines, the words as numbers of these, and how many each line has."""
     parts = pc.split_pattern(lines, b" ")  # the first part of each line is empty
@@ -138,7 +129,7 @@ def word_counts(table: DataFrame, ranks: str) -> DataFrame:
                 held = Counter()
         held.pop(b"", None)  # what stands before a line's first space
         yield from rows()
-        _rested()
+        rested()
 
     return table.filter("NOT held_out").select("ids").mapInArrow(count, schema).filter("n > 0 AND length(word) > 0").groupBy("word").agg(F.sum("n").alias("c"))
 
@@ -169,7 +160,7 @@ def _sums(table: DataFrame, cells: int, count) -> np.ndarray:
             total += np.bincount(np.concatenate(keys), minlength=cells)
         yield from packed(total)
         del total, keys
-        _rested()
+        rested()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -248,7 +239,7 @@ def _round(table: DataFrame, model: Model, turn: int) -> None:
         if done:
             flat = np.concatenate([p[n].ravel() for n in names]).astype("<f4")
             yield pa.record_batch([[TaskContext.get().partitionId() % 16], [float(done)], [(flat * done).tobytes()]], schema=arrow_type(schema))
-        _rested()
+        rested()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, total = 0.0, None
@@ -346,7 +337,7 @@ def scores(docs: DataFrame, ranks: str, *, rounds: int = 2, hot_words: int = 250
                 columns[7], columns[8] = pa.array(np.zeros(len(some[0]))), pa.array(np.zeros(len(some[0]), np.int64))
                 yield pa.record_batch(columns, schema=made)
             row += n
-        _rested()
+        rested()
 
     seen = table.select("doc_id", "held_out", "ids").mapInArrow(score, schema)
     joined = seen.join(counts, "word", "left")

@@ -70,7 +70,7 @@ def borders(data: np.ndarray, lasts: np.ndarray) -> np.ndarray:
 class Subwords:
     """``limit``: chunks remembered at most; beyond that memory is given back and filled again, results don't change."""
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 700_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         from tokenizers import Tokenizer
