@@ -465,8 +465,8 @@ def test_near_copies_equal_brute_force(spark):
                 a, b = sorted((root[i], root[j]))
                 root = [a if r == b else r for r in root]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    for rows in (1024, 4):
-        got = {r.doc_id: r.component_id for r in near_copies.near_copies(df, tile_rows=rows).collect()}
+    for size in (8 << 20, 4800):
+        got = {r.doc_id: r.component_id for r in near_copies.near_copies(df, tile_bytes=size).collect()}
         assert [got[i] for i in range(len(texts))] == root
     assert sorted(r.doc_id for r in deduplicate(spark, df, "").collect()) == sorted(set(root))
 
