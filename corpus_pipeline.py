@@ -27,7 +27,8 @@ def grade(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five-word shingles, linked at a Jaccard similarity of 0.8 or more; of each connected group the row of the least id stays."""
+    """SimHash tiles by exclusive-or and bit counts; what meets is linked at a Jaccard similarity of 0.8 or more of its five-word
+    shingles, and of each connected group the row of the least id stays."""
     return near_copies.first_copies(docs, least=0.8, shingle=5)
 
 

@@ -505,3 +505,54 @@ def test_mix_stage_takes_what_the_plan_says(spark):
 
 def test_blocks_grow_with_the_fingerprints():
     assert [simhash.blocks_kept(n, 4) for n in (0, 10**6, 10**7, 10**9, 10**11)] == [1, 1, 2, 2, 3]
+
+
+@pytest.mark.parametrize("words", [1, 3])
+def test_tiles_link_wide_fingerprints(words):
+    rnd = np.random.default_rng(8)
+    base = rnd.integers(0, 1 << 64, (12, words), np.uint64)
+    flips = (rnd.random((12, 60, words * 64)) < rnd.choice([0.02, 0.1, 0.3], (12, 60, 1))).astype(np.uint8)
+    fps = (base[:, None] ^ np.packbits(flips, axis=2, bitorder="little").view(np.uint64)).reshape(-1, words)
+    radius = 8 * words
+    apart = np.bitwise_count(fps[:, None] ^ fps[None]).sum(2)
+    root = np.arange(len(fps))
+    while (new := np.where(apart <= radius, root, len(root)).min(1)).tolist() != root.tolist():
+        root = new
+    got = simhash.tiled_forest(fps if words > 1 else fps[:, 0], radius)
+    assert len(set(zip(got.tolist(), root.tolist(), strict=True))) == len(set(got.tolist())) == len(set(root.tolist()))
+
+
+@pytest.mark.parametrize("tile_rows", [2048, 40, 3])
+def test_near_copies_meet_by_their_fingerprints(spark, tile_rows):
+    """The stage's candidates come from SimHash tiles: one group, groups by blocks, and groups dealt by salts."""
+    from voxstrata.llm import near_copies
+
+    rnd = random.Random(9)
+    texts, pairs = [], []
+    for i in range(60):
+        words = [f"w{rnd.randrange(9000)}" for _ in range(rnd.randint(5, 300))]
+        other = words.copy()
+        other[rnd.randrange(len(other))] += "x"
+        texts += [" ".join(words), " ".join(other)]
+    texts += [" ".join(["one", "text", "of", "many", "copies", "with", "its", "own", "end"] * 9 + [f"n{i}"]) for i in range(40)]
+    sets = [near_copies.shingles(t) for t in texts]
+    prints = np.stack([near_copies.fingerprint(s) for s in sets])
+    for s, p in zip(sets, prints, strict=True):
+        mixed = (s[:, None] ^ near_copies._FLIP) * near_copies._TIMES
+        mixed = (mixed ^ (mixed >> 32)) * near_copies._AGAIN
+        counts = [[sum(int(x) >> b & 1 for x in column) for b in range(64)] for column in (mixed ^ (mixed >> 32)).T]
+        assert p.tolist() == [sum((2 * c > len(s)) << b for b, c in enumerate(column)) for column in counts]
+    keys = near_copies.keys(prints, near_copies.blocks(len(texts), tile_rows))
+    rows = [(i, p.view(np.int64).tolist(), k.tolist()) for i, (p, k) in enumerate(zip(prints, keys, strict=True))]
+    heads = {}
+    for r in near_copies.meetings(spark.createDataFrame(rows, "row long, print array<long>, keys array<int>").repartition(3), tile_rows).collect():
+        heads.setdefault(r["row"], set()).add(r["head"])
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j])):
+                pairs.append((i, j))
+                assert heads[i] & heads[j]
+    assert len(pairs) > 800
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in near_copies.near_copies(df, tile_rows=tile_rows).collect()}
+    assert all(got[i] == got[j] for i, j in pairs) and sum(got[i] == i for i in got) >= 61

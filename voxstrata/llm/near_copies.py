@@ -1,14 +1,20 @@
-"""Near copies by exact Jaccard similarity of word shingles.
+"""Near copies by SimHash tiles and exact Jaccard similarity of word shingles.
 
 A text's lower-cased (A-Z) words give a set of shingles, held as 48 bits of XXH64 hashes. Equal sets are merged first, so copies cost
-one row. Candidates come from ``BANDS`` bands of ``ROWS`` min-hashes: texts meet where all of a band's are equal, which
-at similarity s fails in every band with chance ``(1 - s ** ROWS) ** BANDS``: 3 in a million at 0.8, less above. Where
-they meet, the sets decide: two texts are linked only if their Jaccard similarity is at least ``least``.
+one row. Candidates come from SimHash fingerprints of ``BITS`` bits (a bit is set if it is set in more than half of the
+set's hashes, mixed anew for every 64 bits) by exclusive-or and bit counts over tiles, as in ``simhash``: two texts meet if
+their first 64 * ``WORDS`` bits differ in at most ``RADIUS``. Where they meet, the sets decide: two texts are linked only if
+their Jaccard similarity is at least ``least``.
 
-All that meets in a band stands in the group of its least row, so like copies, which share most bands, stand in one or a
-few groups. A group of more than ``tile_bytes`` is dealt by a hash into salts, and every two salts meet in a group of
-their own. A group yields a forest of its links, not all pairs; components then follow from all forests, so a text can be
-in a component by way of others.
+At a similarity of 0.8 about 0.15 of the bits differ (0.16 at most, 0.19 for a set of four in one of five), too many for
+blocks of which one surely agrees. So tiles are formed inside groups that agree on a block of drawn bits, as many bits as
+bring random groups down to ``tile_rows``, and as many blocks as leave a pair that differs in ``SHARE`` of its bits apart in
+all of them with chance ``MISS``. A small table is one group. A group of more than twice ``tile_rows`` is dealt by a hash into
+salts, and every two salts meet.
+
+What is connected inside a tile group stands in the group of its least row, so like copies, which share most blocks, stand in
+one or a few. A group of more than ``tile_bytes`` is dealt in the same way. A group yields a forest of its links, not all
+pairs; components then follow from all forests, so a text can be in a component by way of others.
 
 Defined results: null and empty texts are copies of each other; a text of fewer words than a shingle is one shingle;
 repeated rows fall together; a null id belongs to its component but is never its id unless all are null; an empty table
@@ -17,6 +23,7 @@ gives no rows; texts are read whole; other columns are ignored (``near_copies``)
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,16 +32,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_type, stored, text_batches
+from .common import arrow_type, rested, stored, text_batches
 from .components import components
+from .simhash import tiled_forest
 
-BANDS, ROWS = 24, 4
+BITS, WORDS, RADIUS = 512, 3, 62
+SHARE, MISS = 0.17, 1e-6
 LOW = np.uint64((1 << 48) - 1)
 #: Sets compared in one place hold at most about so many bytes.
 TILE_BYTES = 8 << 20
+#: Fingerprints in a random group.
+TILE_ROWS = 2048
 _rnd = np.random.default_rng(1)
-_FLIP, _TIMES = (_rnd.integers(0, 1 << 64, BANDS * ROWS, np.uint64) for _ in range(2))
-_TIMES |= np.uint64(1)
+_FLIP, _TIMES, _AGAIN = (_rnd.integers(0, 1 << 64, BITS // 64, np.uint64) | np.uint64(1) for _ in range(3))
+_HALF = np.uint64(32)
 
 
 def shingles(text: str, size: int = 5, seed: int = 42) -> np.ndarray:
@@ -62,16 +73,34 @@ def unpacked(raw: bytes) -> np.ndarray:
     return wide.view("<u8")[:, 0]
 
 
-def bands(hashes: np.ndarray) -> np.ndarray:
-    """A signed 64-bit key for each band; none for the empty set."""
-    from xxhash import xxh64_intdigest as digest
+def fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """``BITS`` bits as 64-bit integers."""
+    total = np.zeros(BITS, np.int64)
+    for a in range(0, len(hashes), 255):  # sums fit a byte
+        x = (hashes[a : a + 255, None] ^ _FLIP) * _TIMES
+        x ^= x >> _HALF
+        x *= _AGAIN
+        x ^= x >> _HALF
+        total += np.unpackbits(x.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.uint8)
+    return np.packbits(2 * total > len(hashes), bitorder="little").view(np.uint64)
+
+
+def blocks(rows: int, tile_rows: int = TILE_ROWS) -> np.ndarray:
+    """The places of each block's bits, (blocks, bits); no bits if all rows are one group."""
+    bits = min(20, max(0, math.ceil(math.log2(max(1, rows) / tile_rows))))
+    many = math.ceil(math.log(MISS) / math.log1p(-((1 - SHARE) ** bits))) if bits else 1
+    drawn = np.random.default_rng(2)
+    return np.concatenate([drawn.permutation(BITS) for _ in range(1 + many * bits // BITS)])[: many * bits].reshape(many, bits)
+
 
-    if not len(hashes):
-        return np.empty(0, np.int64)
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for a in range(0, len(hashes), 4096):
-        least = np.minimum(least, ((hashes[a : a + 4096, None] ^ _FLIP) * _TIMES).min(0))
-    return np.array([digest(x.tobytes()) for x in least.reshape(BANDS, ROWS)], np.uint64).view(np.int64)
+def keys(prints: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The number of each block and of its bits, (fingerprints, blocks)."""
+    set_bits = np.unpackbits(prints.view(np.uint8), axis=1, bitorder="little")
+    many, bits = places.shape
+    out = np.tile(np.arange(many, dtype=np.int32) << bits, (len(prints), 1))
+    for i in range(bits):
+        out += set_bits[:, places[:, i]].astype(np.int32) << i
+    return out
 
 
 def forest(sets: list[np.ndarray], least: float) -> np.ndarray:
@@ -98,20 +127,65 @@ def forest(sets: list[np.ndarray], least: float) -> np.ndarray:
     return root
 
 
-def links(distinct: DataFrame, texts: DataFrame, least: float, shingle: int, tile_bytes: int = TILE_BYTES) -> DataFrame:
-    """Edges (u, v) of rows that connect what is linked; ``distinct``: (row, size, bands), ``texts``: (row, text).
+def meetings(distinct: DataFrame, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """(head, row) of rows that meet others: what is near in fingerprint meets under one head; ``distinct``: (row, print, keys)."""
+    words = [F.col("print")[i].alias(f"w{i}") for i in range(WORDS)]
+    rows = distinct.select(F.explode("keys").alias("key"), "row", *words)
+    hot = rows.groupBy("key").count().filter(F.col("count") > 2 * tile_rows).select("key", F.ceil(F.col("count") / tile_rows).cast("int").alias("salts"))
+    rows = rows.join(hot, "key", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    rows = rows.withColumn("own", F.expr("CAST(pmod(xxhash64(row, key), salts) AS INT)"))
+    rows = rows.withColumn("other", F.explode(F.expr("IF(salts = 1, array(0), filter(sequence(0, salts - 1), x -> x != own))")))
+    rows = rows.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "row", *(f"w{i}" for i in range(WORDS)))
+    dealt = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "row")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def met(table: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table]:
+            at = [table.column(i).to_numpy() for i in range(3)]
+            row, prints = table.column(3).to_numpy(), np.stack([table.column(4 + i).to_numpy() for i in range(WORDS)], 1).view(np.uint64)
+            cuts = [0, *(1 + np.flatnonzero(np.any([x[1:] != x[:-1] for x in at], 0))).tolist(), *([len(row)] if last else [])]
+            made = [(np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64))]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if b - a > 1:
+                    root = tiled_forest(prints[a:b], RADIUS)
+                    least = np.full(b - a, b - a)
+                    np.minimum.at(least, root, np.arange(b - a))
+                    own = np.flatnonzero(np.bincount(root, minlength=b - a)[root] > 1)
+                    made.append((np.full(len(own), at[0][a] if at[2][a] else -1, np.int32), row[a:b][least[root[own]]], row[a:b][own]))
+            return pa.record_batch([np.concatenate(x) for x in zip(*made, strict=True)], names=["hot", "head", "row"]), table.slice(cuts[-1])
+
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, table]).combine_chunks() if held is not None else table
+            made, held = met(held, last=False)
+            if made.num_rows:
+                yield made
+        if held is not None and held.num_rows:
+            yield met(held, last=True)[0]
+        rested()
+
+    found = stored(dealt.mapInArrow(compare, "hot int, head long, row long"), "met")
+    met = found.filter("hot < 0").select("head", "row")
+    salted = found.filter("hot >= 0").select(F.xxhash64("hot", "head").alias("v"), F.xxhash64("hot", "row").alias("node"), "row")
+    if not salted.isEmpty():  # the pairs of salts of one block have one head
+        near = salted.select("node", "row").distinct().join(components(salted.select(F.col("node").alias("u"), "v")), "node")
+        heads = near.groupBy("root").agg(F.min("row").alias("head"))
+        met = met.unionByName(near.join(heads, "root").select("head", "row"))
+    return met.distinct()
+
+
+def links(distinct: DataFrame, texts: DataFrame, least: float, shingle: int, tile_bytes: int = TILE_BYTES, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """Edges (u, v) of rows that connect what is linked; ``distinct``: (row, size, print, keys), ``texts``: (row, text).
 
     Only rows that meet others are hashed again, and only their sets travel to the groups.
     """
-    rows = distinct.select("row", "size", F.posexplode("bands").alias("band", "part"))
-    # what meets in a band meets under its least row: like copies share most bands, and then one such row
-    heads = rows.groupBy("band", "part").agg(F.count("*").alias("n"), F.min("row").alias("head")).filter("n > 1").select("band", "part", "head")
-    rows = rows.join(heads, ["band", "part"]).select("head", "row", "size").distinct()
+    rows = meetings(distinct, tile_rows).join(distinct.select("row", "size"), "row")
+    rows = stored(rows, "meetings")
     tiles = rows.groupBy("head").agg(F.greatest(F.lit(1), F.ceil(F.sum("size") * 6 / tile_bytes)).cast("int").alias("salts"))
     rows = rows.join(tiles, "head").withColumn("own", F.expr("CAST(pmod(xxhash64(row, head), salts) AS INT)"))
     rows = rows.withColumn("other", F.explode(F.expr("IF(salts = 1, array(0), filter(sequence(0, salts - 1), x -> x != own))")))
     rows = rows.select("row", F.struct("head", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")).alias("group"))
-    groups = stored(rows.groupBy("row").agg(F.collect_list("group").alias("groups")), "candidates")  # a row has a group a band at most, or a salt of one
+    groups = stored(rows.groupBy("row").agg(F.collect_list("group").alias("groups")), "candidates")  # a row has a group a block at most, or a salt of one
     needed = texts.join(groups.hint("merge"), "row").select("groups", "row", "text")  # one plan at every size
     out = arrow_type(schema := T.StructType([*needed.schema[:2], T.StructField("hashes", T.BinaryType())]))
 
@@ -144,46 +218,48 @@ def links(distinct: DataFrame, texts: DataFrame, least: float, shingle: int, til
     return dealt.mapInArrow(compare, "u long, v long")
 
 
-def _classes(docs: DataFrame, least: float, shingle: int, tile_bytes: int, id_col: str, text_col: str, carry: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Stored tables (row, doc), ``doc`` holding the columns in ``carry``, and (row, doc_id, mark, bands); and (mark, kept),
+def _classes(docs: DataFrame, least: float, shingle: int, tile_bytes: int, tile_rows: int, id_col: str, text_col: str, carry: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored tables (row, doc), ``doc`` holding the columns in ``carry``, and (row, doc_id, mark, size, print, keys); and (mark, kept),
     the first row (by id, null ids last) of the component that a set's mark belongs to."""
     rows = stored(docs.select(F.struct(*carry).alias("doc")).withColumn("row", F.monotonically_increasing_id()), "rows")
     texts = rows.select("row", F.col("doc").getField(id_col).alias("doc_id"), F.coalesce(F.col("doc").getField(text_col), F.lit("")).alias("text"))
-    schema = T.StructType([*texts.schema[:2], *T._parse_datatype_string("mark long, size int, bands array<long>")])
-    out = arrow_type(schema)
+    schema = T.StructType([*texts.schema[:2], *T._parse_datatype_string("mark long, size int, print array<long>, keys array<int>")])
+    out, places = arrow_type(schema), blocks(rows.count(), tile_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest as digest
 
         for batch in text_batches(batches, 2):
-            marks, sizes, keys = [], [], []
-            for text in batch.column(2).to_pylist():
+            marks, sizes, prints = [], [], np.zeros((batch.num_rows, BITS // 64), np.uint64)
+            for i, text in enumerate(batch.column(2).to_pylist()):
                 own = shingles(text, shingle)
                 marks.append(digest(own.tobytes()))
                 sizes.append(len(own))
-                keys.append(bands(own))
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(np.array(marks, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(keys, out.field(4).type)], schema=out)
+                prints[i] = fingerprint(own)
+            lists = [np.ascontiguousarray(prints[:, :WORDS]).view(np.int64), keys(prints, places)]
+            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel(), t.type.value_type)).cast(t.type) for x, t in zip(lists, list(out)[4:], strict=True)]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(np.array(marks, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), *lists], schema=out)
 
-    found = stored(texts.mapInArrow(run, schema), "bands")
+    found = stored(texts.mapInArrow(run, schema), "prints")
     distinct = stored(found.groupBy("mark").agg(F.min("row").alias("row"), F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")), "distinct-shingles")
-    first = found.select("row", "size", "bands").join(distinct.select("row"), "row")
-    roots = components(links(first, texts.select("row", "text"), least, shingle, tile_bytes))
+    first = found.filter("size > 0").select("row", "size", "print", "keys").join(distinct.select("row"), "row")
+    roots = components(links(first, texts.select("row", "text"), least, shingle, tile_bytes, tile_rows))
     classes = distinct.join(roots.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
     kept = stored(classes.groupBy("root").agg(F.min("first").alias("kept")), "components")  # stored, so a hot root's rows can be split
     return rows, found, classes.join(kept, "root").select("mark", "kept")
 
 
-def near_copies(docs: DataFrame, *, least: float = 0.8, shingle: int = 5, tile_bytes: int = TILE_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_copies(docs: DataFrame, *, least: float = 0.8, shingle: int = 5, tile_bytes: int = TILE_BYTES, tile_rows: int = TILE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, component_id): the least id reachable over links."""
-    _, found, classes = _classes(docs, least, shingle, tile_bytes, id_col, text_col, [id_col, text_col])
+    _, found, classes = _classes(docs, least, shingle, tile_bytes, tile_rows, id_col, text_col, [id_col, text_col])
     return found.select("doc_id", "mark").join(classes, "mark").select("doc_id", F.col("kept.doc_id").alias("component_id"))
 
 
-def first_copies(docs: DataFrame, *, least: float = 0.8, shingle: int = 5, tile_bytes: int = TILE_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def first_copies(docs: DataFrame, *, least: float = 0.8, shingle: int = 5, tile_bytes: int = TILE_BYTES, tile_rows: int = TILE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: that of the least id, null ids last; of rows equal in id, any one.
 
     Rows go by a number of their own, so repeated rows, rows without an id and rows that share one are told apart.
     """
-    rows, found, classes = _classes(docs, least, shingle, tile_bytes, id_col, text_col, docs.columns)
+    rows, found, classes = _classes(docs, least, shingle, tile_bytes, tile_rows, id_col, text_col, docs.columns)
     copies = found.select("row", "mark").join(classes, "mark").filter("row != kept.row").select("row")
     return rows.join(copies.hint("merge"), "row", "left_anti").select("doc.*")  # one plan at every size

@@ -83,18 +83,24 @@ def _join(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
 
 def tiled_forest(fps: np.ndarray, radius: int) -> np.ndarray:
-    """Per fingerprint the index of the least it is linked to, directly or through others; all tile pairs are compared."""
-    fps = fps.astype(np.uint64)
-    counts = np.bitwise_count(fps)
+    """Per fingerprint the index of the least it is linked to, directly or through others; all tile pairs are compared.
+
+    A fingerprint is a 64-bit integer, or a row of up to three.
+    """
+    fps = fps.astype(np.uint64).reshape(len(fps), -1)
+    counts = np.bitwise_count(fps).sum(1, dtype=np.int64)
     order = np.argsort(counts, kind="stable")
-    fps, counts = fps[order], counts[order].astype(np.int64)
-    parent = np.arange(len(fps))
-    for i in range(0, len(fps), TILE):
-        own, top = fps[i : i + TILE], counts[min(i + TILE, len(fps)) - 1]
-        for j in range(i, len(fps), TILE):
+    fps, counts = np.ascontiguousarray(fps[order].T), counts[order]
+    parent = np.arange(len(order))
+    for i in range(0, len(order), TILE):
+        own, top = fps[:, i : i + TILE, None], counts[min(i + TILE, len(order)) - 1]
+        for j in range(i, len(order), TILE):
             if counts[j] - top > radius:
                 break  # tiles are sorted: all later ones differ more
-            a, b = np.nonzero(np.bitwise_count(own[:, None] ^ fps[None, j : j + TILE]) <= radius)
+            apart = np.bitwise_count(own[0] ^ fps[0, None, j : j + TILE])
+            for x, y in zip(own[1:], fps[1:, None, j : j + TILE], strict=True):
+                apart += np.bitwise_count(x ^ y)
+            a, b = np.divmod(np.flatnonzero(apart <= radius), apart.shape[1])
             near = (a + i) < (b + j)
             if near.any():
                 _join(parent, a[near] + i, b[near] + j)
