@@ -556,3 +556,10 @@ def test_near_copies_meet_by_their_fingerprints(spark, tile_rows):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     got = {r.doc_id: r.component_id for r in near_copies.near_copies(df, tile_rows=tile_rows).collect()}
     assert all(got[i] == got[j] for i, j in pairs) and sum(got[i] == i for i in got) >= 61
+
+
+def test_near_copies_refuse_similarities_their_candidates_miss(docs):
+    from voxstrata.llm import near_copies
+
+    with pytest.raises(ValueError):
+        near_copies.near_copies(docs, least=0.7)

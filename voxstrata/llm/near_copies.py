@@ -221,6 +221,8 @@ def links(distinct: DataFrame, texts: DataFrame, least: float, shingle: int, til
 def _classes(docs: DataFrame, least: float, shingle: int, tile_bytes: int, tile_rows: int, id_col: str, text_col: str, carry: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Stored tables (row, doc), ``doc`` holding the columns in ``carry``, and (row, doc_id, mark, size, print, keys); and (mark, kept),
     the first row (by id, null ids last) of the component that a set's mark belongs to."""
+    if least < 0.8:
+        raise ValueError("candidates are drawn for similarities of 0.8 and more; below that, links would be lost")
     rows = stored(docs.select(F.struct(*carry).alias("doc")).withColumn("row", F.monotonically_increasing_id()), "rows")
     texts = rows.select("row", F.col("doc").getField(id_col).alias("doc_id"), F.coalesce(F.col("doc").getField(text_col), F.lit("")).alias("text"))
     schema = T.StructType([*texts.schema[:2], *T._parse_datatype_string("mark long, size int, print array<long>, keys array<int>")])
