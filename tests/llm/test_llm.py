@@ -426,6 +426,38 @@ def test_every_training_window_gives_gradients(spark):
     assert model.windows == 2 * [sum(-(-n // attention_lm.STEP) for n in lengths)]
 
 
+def test_each_distinct_word_is_encoded_once(monkeypatch):
+    path = vocabulary_path("byte_bpe_50k.tiktoken")
+    rnd = random.Random(8)
+    whole = lambda t: lm_scoring._ids(b" " + b" ".join(w), path).tobytes() if (w := lm_scoring.words(t)) else b""
+    odd = "abS's1. \t\n,-\xa0\u3000\u2028\x85\x1c\u200b\ufeffé\u0301日😀<|>İ²"
+    texts = [" ".join(rnd.choice(("unforeseen", "It's", "a\xa0", "\xa0b", "x1,", "日本")) for _ in range(rnd.randint(0, 50))) for _ in range(40)]
+    texts += ["".join(rnd.choice(odd) for _ in range(rnd.randint(0, 60))) for _ in range(400)]
+    want = [whole(t) for t in texts]
+    assert lm_scoring.packed(texts, path) == want
+    assert lm_scoring.packed(["", " \n"], path) == [b"", b""] and lm_scoring.packed([], path) == []
+    given, encode = [], lm_scoring._ids
+    monkeypatch.setattr(lm_scoring, "_ids", lambda line, path: given.append(len(line)) or encode(line, path))
+    docs = ["unforeseen words\tRepeat " * 500] * 20
+    assert [len(x) for x in lm_scoring.packed(docs, path)] == 20 * [len(whole(docs[0]))]
+    assert given[0] == len(" unforeseen words repeat")
+
+
+def test_word_counts_and_frequent_words_are_exact(spark):
+    path = vocabulary_path("byte_bpe_50k.tiktoken")
+    rnd = random.Random(9)
+    df = spark.createDataFrame([(i, " ".join(f"w{int(rnd.paretovariate(0.4)) % 700}" for _ in range(80))) for i in range(120)], "doc_id long, text string").repartition(3)
+    table = lm_scoring.encoded(df, path)
+    own = [(r.doc_id, lm_scoring.words(r.text), zlib.crc32(str(r.doc_id).encode()) % 7 == 2) for r in df.collect()]
+    want = Counter(w for _, line, held in own if not held for w in [*line, b" "])
+    assert {bytes(r.word): r.c for r in lm_scoring.word_counts(table, path).collect()} == want
+    divisor = sum(want.values()) + len(want) + 1
+    base = {k: (sum(math.log10((want[w] + 1) / divisor) for w in [*line, b" "]), sum(w in want for w in [*line, b" "])) for k, line, _ in own}
+    for hot in (0, 1, 20, 10_000):  # words taken from the driver's list, from the join, and both
+        for r in lm_scoring.scores(df, path, rounds=1, hot_words=hot).collect():
+            assert abs(r.base_score - base[r.doc_id][0]) < 1e-6 and r.n_known == base[r.doc_id][1]
+
+
 def test_every_position_sees_half_a_window():
     n = 64
     assert attention_lm.WINDOW - attention_lm.STEP >= attention_lm.WINDOW // 2 >= 32

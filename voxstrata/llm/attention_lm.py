@@ -57,7 +57,7 @@ def bigrams(both: np.ndarray, trust: float = 20.0) -> tuple[np.ndarray, np.ndarr
 
 _AGE = np.arange(WINDOW - STEP, WINDOW)[:, None] - np.arange(WINDOW)[None, :]  # query's position minus key's
 _SEEN = _AGE >= 0
-#: Logits beyond this are held there, so exponentials need no maximum taken off and never overflow.
+#: Logits beyond this are held there, biases at a third of it, so exponentials need no maximum taken off and never overflow.
 MOST = 60
 
 
@@ -66,10 +66,9 @@ def _weights(p: dict, pad: int, context: np.ndarray) -> tuple:
     q, k, v = (np.take(p[n], x, axis=0) for n, x in (("q", context[:, -STEP:]), ("k", context), ("v", context)))
     q *= q.dtype.type(WIDTH**-0.5)
     a = q @ k.transpose(0, 2, 1)
-    a += p["b"][np.maximum(_AGE, 0)]
     np.clip(a, -MOST, MOST, out=a)
     np.exp(a, out=a)
-    a *= _SEEN.astype(a.dtype)
+    a *= (np.exp(np.clip(p["b"], -MOST / 3, MOST / 3))[np.maximum(_AGE, 0)] * _SEEN).astype(a.dtype)
     head = np.flatnonzero(context[:, 0] == pad)  # only a text's first window begins with padding
     if len(head):
         a[head] *= (context[head] != pad)[:, None, :]
@@ -88,11 +87,19 @@ def _grouped(want: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
     return np.argsort(group, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(group, minlength=groups))])
 
 
+def _runs(ends: np.ndarray) -> list[tuple[int, slice]]:
+    """The groups that aren't empty, and their places."""
+    ends = ends.tolist()
+    return [(g, slice(a, b)) for g, (a, b) in enumerate(zip(ends, ends[1:], strict=False)) if a < b]
+
+
 def _inner(p: dict, second: np.ndarray, h: np.ndarray, asked: np.ndarray, group: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Logits of the place in the group, for rows ordered by group."""
     z = np.take(second.reshape(-1, GROUP), group * second.shape[1] + asked, axis=0)
-    for g in np.flatnonzero(np.diff(ends)):
-        z[ends[g] : ends[g + 1]] += h[ends[g] : ends[g + 1]] @ p["i"][g]
+    added = np.empty_like(z)
+    for g, own in _runs(ends):
+        np.matmul(h[own], p["i"][g], out=added[own])
+    z += added
     return z
 
 
@@ -128,7 +135,8 @@ def _summed(table: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     order = np.argsort(rows.astype(np.uint16), kind="stable")
     rows = rows[order]
     first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    table[rows[first]] += np.add.reduceat(np.take(values, order, axis=0), first, axis=0)
+    pairs = np.take(values, order, axis=0).view(np.result_type(values, np.complex64))  # two numbers as one: half as many additions
+    table[rows[first]] += np.add.reduceat(pairs, first, axis=0).view(values.dtype)
 
 
 def _slope(z: np.ndarray, want: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, float]:
@@ -146,8 +154,9 @@ def gradients(p: dict, first: np.ndarray, second: np.ndarray, context: np.ndarra
     pad = len(p["q"]) - 1
     goal = target.ravel()
     a, total, q, k, v = _weights(p, pad, context)
-    a /= np.maximum(total, 1e-30)[..., None]
+    total = np.maximum(total, 1e-30)[..., None]
     h = a @ v
+    h /= total
     kind = h.dtype
     want = np.minimum(goal, pad - 1)
     order, ends = _grouped(want, len(second))
@@ -160,13 +169,13 @@ def gradients(p: dict, first: np.ndarray, second: np.ndarray, context: np.ndarra
     g["o"] += flat.T @ dz
     ds = dz @ p["o"].T
     dz, more = _slope(_inner(p, second, flat, asked, group, ends), want % GROUP, scale)
-    for x in np.flatnonzero(np.diff(ends)):
-        own = slice(ends[x], ends[x + 1])
-        g["i"][x] += flat[own].T @ dz[own]
+    for x, own in _runs(ends):
+        np.matmul(flat[own].T, dz[own], out=g["i"][x])
         ds[own] += dz[own] @ p["i"][x].T
     dh = np.empty_like(ds)
     dh[order] = ds
     dh = dh.reshape(h.shape)
+    dh /= total
     da = dh @ v.transpose(0, 2, 1)
     da -= np.einsum("bij,bij->bi", dh, h)[..., None]  # the sum of weights times their slopes
     da *= a
@@ -189,8 +198,12 @@ def train(p: dict, first: np.ndarray, second: np.ndarray, context: np.ndarray, t
     for i in range(0, len(context), batch):
         g, _ = gradients(p, first, second, context[i : i + batch], target[i : i + batch])
         for n, x in g.items():
-            seen[n] += x * x
-            p[n] -= rate * x / np.sqrt(seen[n])
+            step = x * x
+            seen[n] += step
+            np.sqrt(seen[n], out=step)
+            np.divide(x, step, out=step)
+            step *= rate
+            p[n] -= step
     return p, seen
 
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import base64
 import math
-from collections import Counter
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +40,9 @@ END = b" "  # no word holds a space
 #: Cells of a vector of counts that travel in one row, and bytes of ids that a step takes.
 BLOCK, STEP_BYTES = 1 << 16, 1_000_000
 
+#: White space that words may hold. Next to it, what a word's subwords are may depend on its neighbours.
+_ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
 _coders: dict = {}
 _spelled: dict = {}
 
@@ -67,6 +70,56 @@ def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
+def _words(lines: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of lines, the words as numbers of these, and how many each line has."""
+    parts = pc.split_pattern(lines, b" ")  # the first part of each line is empty
+    sizes = np.diff(parts.offsets.to_numpy())
+    flat = parts.flatten().dictionary_encode()
+    codes = flat.indices.to_numpy()
+    if not len(codes):
+        return flat.dictionary, codes, sizes
+    first = np.zeros(len(codes), np.bool_)
+    first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+    return flat.dictionary, codes[~first], np.maximum(sizes - 1, 0)
+
+
+def _ids(line: bytes, path: str) -> np.ndarray:
+    return _coder(path).encode_to_numpy(line.decode("utf-8", "replace"), disallowed_special=()).astype("<u2")
+
+
+def packed(texts: list[str], path: str) -> list[bytes]:
+    """The ids of each text's line. Each distinct word is encoded once, after a space, and its ids are put where it stands."""
+    lines = [b" " + b" ".join(w) if (w := words(t)) else b"" for t in texts]
+    names, codes, sizes = _words(pa.array(lines, pa.binary()))
+    if not len(codes):
+        return [b""] * len(texts)
+    filled = pc.binary_length(names).to_numpy() > 0  # what is before a line's first space is empty
+    names, codes = names.filter(pa.array(filled)), (np.cumsum(filled) - 1)[codes]
+    long = pc.binary_length(names).to_numpy()
+    whole = np.full(len(names) + long.sum(), 32, np.uint8)
+    starts = np.cumsum(long + 1) - long - 1
+    within = np.ones(len(whole), np.bool_)
+    within[starts] = False
+    places = np.frombuffer(names.buffers()[1], np.int32)[names.offset : names.offset + len(names) + 1]
+    whole[within] = np.frombuffer(names.buffers()[2], np.uint8)[places[0] : places[-1]]
+    line = whole.tobytes().decode("utf-8", "replace")
+    whole = np.frombuffer(line.encode(), np.uint8)  # the same but for surrogates
+    ids = _ids(line.encode(), path)
+    # a word's ids end where its bytes do
+    bytes_to = np.cumsum(pc.binary_length(_pieces(path)).to_numpy()[ids])
+    ends = np.searchsorted(bytes_to, np.append(np.flatnonzero(whole == 32)[1:], len(whole))) + 1
+    first, many = np.concatenate([[0], ends[:-1]])[codes], np.diff(ends, prepend=0)[codes]
+    to = np.cumsum(many)
+    flat = ids[np.repeat(first - to + many, many) + np.arange(to[-1])].tobytes()
+    cuts = (2 * np.append(0, to)[np.append(0, np.cumsum(sizes))]).tolist()
+    out = [flat[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+    if _ODD.search(line):
+        odd = np.array([bool(_ODD.search(w.decode("utf-8", "replace"))) for w in names.to_pylist()])
+        for i in set(np.repeat(np.arange(len(texts)), sizes)[odd[codes]].tolist()):
+            out[i] = _ids(lines[i], path).tobytes()
+    return out
+
+
 def encoded(docs: DataFrame, ranks: str, *, id_col: str = "doc_id", text_col: str = "text", fold: int = 7, out: int = 2) -> DataFrame:
     """(doc_id, held_out, ids): ids as 16-bit integers, without the end. They spell the line, so it isn't kept beside them."""
     held = F.crc32(F.encode(F.coalesce(F.col(id_col).cast("string"), F.lit("")), "utf-8")) % fold == out
@@ -74,14 +127,7 @@ def encoded(docs: DataFrame, ranks: str, *, id_col: str = "doc_id", text_col: st
         raise OverflowError("ids of this vocabulary don't fit 16 bits")
 
     def make():
-        coder = _coder(ranks)
-
-        def apply(keys, texts, holds):
-            lines = [b" " + b" ".join(w) if (w := words(t)) else b"" for t in texts]
-            ids = [coder.encode_to_numpy(x.decode("utf-8", "replace"), disallowed_special=()).astype("<u2").tobytes() if x else b"" for x in lines]
-            return [keys, holds, ids]
-
-        return apply
+        return lambda keys, texts, holds: [keys, holds, packed(texts, ranks)]
 
     return map_lists(id_and_text(docs, id_col, text_col, held.alias("held_out")), "doc_id long, held_out boolean, ids binary", make)
 
@@ -96,39 +142,32 @@ def spelled(ids: pa.Array, ranks: str) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), parts.buffers()[2] if len(flat) else pa.py_buffer(b"")])
 
 
-def _words(lines: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """The distinct words of lines, the words as numbers of these, and how many each line has."""
-    parts = pc.split_pattern(lines, b" ")  # the first part of each line is empty
-    sizes = np.diff(parts.offsets.to_numpy())
-    flat = parts.flatten().dictionary_encode()
-    codes = flat.indices.to_numpy()
-    if not len(codes):
-        return flat.dictionary, codes, sizes
-    first = np.zeros(len(codes), np.bool_)
-    first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
-    return flat.dictionary, codes[~first], np.maximum(sizes - 1, 0)
-
-
 def word_counts(table: DataFrame, ranks: str) -> DataFrame:
     """(word, c) over the training rows; the end counts as a word."""
     schema = T._parse_datatype_string("word binary, n long")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        made = arrow_type(schema)
+        held, rows, lines = [], 0, 0
 
-        def rows():
-            made = pa.record_batch([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], schema=arrow_type(schema))
-            return (made.slice(i, 20_000) for i in range(0, made.num_rows, 20_000))
+        def summed() -> pa.Table:
+            return pa.Table.from_batches(held).group_by("word").aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"]).cast(made)
 
         for batch in text_batches(batches, 0, STEP_BYTES):
             names, codes, _ = _words(spelled(batch.column(0), ranks))
-            held.update(dict(zip(names.to_pylist(), np.bincount(codes, minlength=len(names)).tolist(), strict=True)))
-            held[END] += batch.num_rows
-            if len(held) > 300_000:
-                yield from rows()
-                held = Counter()
-        held.pop(b"", None)  # what stands before a line's first space
-        yield from rows()
+            times = pa.array(np.bincount(codes, minlength=len(names)).astype(np.int64))
+            held.append(pa.record_batch([names.cast(pa.binary()), times], schema=made))
+            rows, lines = rows + len(names), lines + batch.num_rows
+            if rows > 600_000:
+                table = summed()
+                held, rows = table.to_batches(), table.num_rows
+                if rows > 300_000:
+                    yield from table.to_batches(20_000)
+                    held, rows = [], 0
+                del table
+        held.append(pa.record_batch([pa.array([END], pa.binary()), pa.array([lines], pa.int64())], schema=made))
+        yield from summed().to_batches(20_000)
+        held.clear()
         rested()
 
     return table.filter("NOT held_out").select("ids").mapInArrow(count, schema).filter("n > 0 AND length(word) > 0").groupBy("word").agg(F.sum("n").alias("c"))
@@ -302,21 +341,28 @@ def scores(docs: DataFrame, ranks: str, *, rounds: int = 2, hot_words: int = 250
             break
         least = row["c"]
     common = {bytes(r["word"]): r["c"] for r in counts.filter(F.col("c") >= least).collect()} if least is not None else {}
-    costs = {w: math.log10((c + 1) / divisor) for w, c in common.items()}
-    hot = spark.sparkContext.broadcast((costs, fit(table, len(_ranks(ranks)), rounds)))
+    ended = math.log10((common[END] + 1) / divisor) if END in common else None
+    costs = np.array([math.log10((c + 1) / divisor) for c in common.values()])
+    hot = spark.sparkContext.broadcast((b"".join(common), [len(w) for w in common], costs, fit(table, len(_ranks(ranks)), rounds)))
+    del common
     schema = T._parse_datatype_string("row long, doc_id long, held_out boolean, n_tokens long, score double, word binary, n long, base double, known long")
     made = arrow_type(schema)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        costs, model = hot.value
-        row, ended = TaskContext.get().partitionId() << 40, costs.get(END)
+        joined, long, costs, model = hot.value
+        places = np.cumsum([0, *long]).astype(np.int32)
+        frequent = pa.Array.from_buffers(pa.binary(), len(long), [None, pa.py_buffer(places), pa.py_buffer(joined)])
+        row = TaskContext.get().partitionId() << 40
         for batch in text_batches(batches, 2, STEP_BYTES):
             n = batch.num_rows
             logs = model.scores([np.frombuffer(x, "<u2") for x in batch.column(2).to_pylist()])
             names, codes, sizes = _words(spelled(batch.column(2), ranks))
-            cost = np.array([costs.get(w, np.nan) for w in names.to_pylist()], np.float64)[codes]
+            # a step's words make a smaller table to look up in than the frequent ones
+            at, cost = pc.index_in(frequent, value_set=names), np.full(len(names), np.nan)
+            cost[at.drop_null().to_numpy()] = costs[at.is_valid().to_numpy(zero_copy_only=False)]
+            cost = cost[codes]
             owner = np.repeat(np.arange(n), sizes)
             met = ~np.isnan(cost)
             base = np.bincount(owner[met], cost[met], n) + (0.0 if ended is None else ended)
